@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .merging import single_row_per_key
+from .merging import failing_on_repeats
 
 
 def _side(df: DataFrame, on: Mapping[str, str], take: Mapping[str, str]) -> DataFrame:
@@ -38,9 +38,9 @@ def enrich(
     key (a placeholder code, a big airline) over several tasks.
     """
     right = _side(dim, on, take)
-    if unique_dim:
-        right = single_row_per_key(right, [f"__on_{left}" for left in on], "dimension")
-    return fact.join(right, _match(on), "left").drop(*[f"__on_{left}" for left in on])
+    keys = [f"__on_{left}" for left in on]
+    joined = fact.join(right, _match(on), "left").drop(*keys)
+    return failing_on_repeats(joined, right, keys, "dimension") if unique_dim else joined
 
 
 def attach_facts(

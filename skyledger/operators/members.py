@@ -41,26 +41,33 @@ def available_codes(pool: DataFrame, used: DataFrame, col: str, pool_col: str =
 def number_rows(df: DataFrame, order_by: str | Column | list[str | Column], out: str) -> DataFrame:
     """Number rows 0, 1, 2 ... in the given order, without bringing them into one task.
 
-    The rows are range-partitioned once and stored, so that slices stay the
-    same on a retry; each slice then counts from the sum of the slices before
-    it. Only one count per slice is ever in one place.
+    The rows are range-partitioned and sorted once; a row's place in its slice
+    is stored with it, so it stays the same on a retry. Each slice then counts
+    from the sum of the slices before it: one count per slice is all that ever
+    comes together.
     """
     order = [order_by] if isinstance(order_by, str | Column) else list(order_by)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    sliced = pin(df.repartitionByRange(*order).withColumn("__slice", F.spark_partition_id()))
+    # The id of a row is its slice number above 33 bits for its place in the slice.
+    row_id = F.monotonically_increasing_id()
+    placed = pin(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("__id", row_id)
+        .withColumn("__slice", F.shiftright("__id", 33))
+        .withColumn("__within", F.col("__id").bitwiseAND((1 << 33) - 1))
+        .drop("__id")
+    )
     before = W.orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        sliced.groupBy("__slice")
+        placed.groupBy("__slice")
         .agg(F.count("*").alias("__n"))
         .select("__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     )
-    place = F.row_number().over(W.partitionBy("__slice").orderBy(*order)) - 1
-    return (
-        sliced.withColumn("__within", place)
-        .join(starts, "__slice")
-        .withColumn(out, F.col("__start") + F.col("__within"))
-        .drop("__slice", "__start", "__within")
-    )
+    # As many rows as there were shuffle partitions.
+    numbered = placed.join(F.broadcast(starts), "__slice")
+    number = F.col("__start") + F.col("__within")
+    return numbered.withColumn(out, number).drop("__slice", "__start", "__within")
 
 
 def assign_ids(

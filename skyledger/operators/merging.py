@@ -44,16 +44,20 @@ def merge_upsert(
     ``fill_after_merge`` gives defaults for what is null on both sides, for
     sources that were not filled before.
 
-    A full outer join could split no hot key and would always shuffle the whole
-    target. Two one-sided joins can: source rows look up their target row, and
-    target rows without a source row pass through. In both, adaptive execution
-    cuts a hot key of the left side into several tasks.
+    A full outer join would shuffle the whole target for any batch, and no hot
+    key of it could be split. So rows without a key skip the join, source rows
+    look up their target row, and target rows without a source row pass. With a
+    small source only its keys travel; with a big one both joins use the same
+    shuffle of the target, and adaptive execution cuts a hot key of the left
+    side into several tasks.
     """
     keys = _names(keys)
     columns = list(columns or dict.fromkeys([*target.columns, *source.columns]))
     values = [c for c in columns if c not in keys]
-    old = target.select(*[c for c in target.columns if c in columns or c in keys])
-    new = source.select(*[c for c in source.columns if c in columns or c in keys])
+    old_all = target.select(*[c for c in target.columns if c in columns or c in keys])
+    new_all = source.select(*[c for c in source.columns if c in columns or c in keys])
+    keyless = _any_null(keys)
+    old, new = old_all.where(~keyless), new_all.where(~keyless)
 
     untouched = old.join(new.select(*keys).distinct(), keys, "left_anti")
     found = _keyed_like(old, new, keys).withColumnsRenamed({c: f"__old_{c}" for c in old.columns})
@@ -66,8 +70,10 @@ def merge_upsert(
             return F.col(c)
         return F.coalesce(F.col(c), F.col(f"__old_{c}")).alias(c)
 
-    brought = new.join(found, same_key, "left").select(*[merged(c) for c in [*keys, *values]])
-    rows = brought.unionByName(untouched, allowMissingColumns=True).select(*columns)
+    rows = new.join(found, same_key, "left").select(*[merged(c) for c in [*keys, *values]])
+    for part in (untouched, old_all.where(keyless), new_all.where(keyless)):
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    rows = rows.select(*columns)
     return rows.na.fill(dict(fill_after_merge)) if fill_after_merge else rows
 
 
@@ -124,17 +130,19 @@ def dedupe_latest(
     return latest.unionByName(df.where(keyless))
 
 
-def single_row_per_key(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """``df``, failing when the query runs if a key occurs twice. Null keys are left out."""
-    others = [c for c in df.columns if c not in keys]
-    grouped = (
-        df.where(~_any_null(keys))
-        .groupBy(*keys)
-        .agg(F.first(F.struct(*[F.col(c) for c in others])).alias("row"), F.count("*").alias("n"))
-    )
+def failing_on_repeats(
+    result: DataFrame, side: DataFrame, keys: Sequence[str], what: str
+) -> DataFrame:
+    """``result``, failing when the query runs if a key occurs twice in ``side``.
+
+    The check counts keys in a branch of its own, which adds no rows, and so
+    leaves the join's plan alone. Null keys match nothing and may repeat.
+    """
+    counted = side.where(~_any_null(keys)).groupBy(*keys).agg(F.count("*").alias("__n"))
     message = F.concat_ws(" ", F.lit(f"{what}: more than one row for key"), *[F.col(k) for k in keys])
-    row = F.when(F.col("n") > 1, F.raise_error(message)).otherwise(F.col("row"))
-    return grouped.select(*keys, row.alias("row")).select(*keys, "row.*")
+    repeats = F.when(F.col("__n") > 1, F.raise_error(message)).isNotNull()
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema.fields]
+    return result.unionByName(counted.where(repeats).select(*nulls))
 
 
 def apply_updates(
@@ -152,13 +160,10 @@ def apply_updates(
     """
     derive = dict(derive or {})
     sets = [c for c in updates.columns if c != key and c in df.columns]
+    asked = updates.where(F.col(key).isNotNull())
     if order_by is not None:
-        one_each = dedupe_latest(updates, key, order_by).select(key, *sets)
-        one_each = one_each.where(F.col(key).isNotNull())
-    else:
-        marked = updates.select(key, *sets, F.lit(True).alias("__asked"))
-        one_each = single_row_per_key(marked, [key], "updates").select(key, *sets)
-    news = one_each.select(
+        asked = dedupe_latest(asked, key, order_by)
+    news = asked.select(
         F.col(key).cast("string").alias("__key"),
         F.lit(True).alias("__hit"),
         *[F.col(c).alias(f"__new_{c}") for c in sets],
@@ -177,4 +182,5 @@ def apply_updates(
             kept = F.when(hit, now).otherwise(kept)
         return kept.alias(c)
 
-    return joined.select(*[value(c) for c in df.columns])
+    changed = joined.select(*[value(c) for c in df.columns])
+    return changed if order_by is not None else failing_on_repeats(changed, news, ["__key"], "updates")
