@@ -21,6 +21,14 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def _of(side: str, column: str) -> Column:
+    return F.col(f"{side}.`{column}`")
+
+
+def _same(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [_of("s", k) == _of("t", k) for k in keys])
+
+
 def _keyed_like(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target rows a source can match.
 
@@ -60,17 +68,17 @@ def merge_upsert(
     old, new = old_all.where(~keyless), new_all.where(~keyless)
 
     untouched = old.join(new.select(*keys).distinct(), keys, "left_anti")
-    found = _keyed_like(old, new, keys).withColumnsRenamed({c: f"__old_{c}" for c in old.columns})
-    same_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__old_{k}") for k in keys])
+    # Aliases, not new names: with equal columns both joins can share the target's shuffle.
+    pairs = new.alias("s").join(_keyed_like(old, new, keys).alias("t"), _same(keys), "left")
 
     def merged(c: str) -> Column:
         if c not in new.columns:
-            return F.col(f"__old_{c}").alias(c)
+            return _of("t", c).alias(c)
         if c not in old.columns or c in keys:
-            return F.col(c)
-        return F.coalesce(F.col(c), F.col(f"__old_{c}")).alias(c)
+            return _of("s", c).alias(c)
+        return F.coalesce(_of("s", c), _of("t", c)).alias(c)
 
-    rows = new.join(found, same_key, "left").select(*[merged(c) for c in [*keys, *values]])
+    rows = pairs.select(*[merged(c) for c in [*keys, *values]])
     for part in (untouched, old_all.where(keyless), new_all.where(keyless)):
         rows = rows.unionByName(part, allowMissingColumns=True)
     rows = rows.select(*columns)
@@ -85,22 +93,16 @@ def changed_rows(current: DataFrame, source: DataFrame, keys: str | Sequence[str
     """
     keys = _names(keys)
     values = [c for c in current.columns if c not in keys and c in source.columns]
-    found = _keyed_like(current, source, keys).withColumn("known", F.lit(True))
-    found = found.withColumnsRenamed({c: f"__old_{c}" for c in current.columns})
-    same_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__old_{k}") for k in keys])
-    new_value = {c: F.coalesce(F.col(c), F.col(f"__old_{c}")) for c in values}
+    found = _keyed_like(current, source, keys).withColumn("__known", F.lit(True))
+    pairs = source.alias("s").join(found.alias("t"), _same(keys), "left")
+    merged = {c: F.coalesce(_of("s", c), _of("t", c)) for c in values}
     differs = reduce(
         lambda a, b: a | b,
-        [~new_value[c].eqNullSafe(F.col(f"__old_{c}")) for c in values],
-        F.col("known").isNull(),
+        [~merged[c].eqNullSafe(_of("t", c)) for c in values],
+        F.col("__known").isNull(),
     )
-    out = [
-        F.col(c) if c in keys
-        else new_value[c].alias(c) if c in values
-        else F.col(f"__old_{c}").alias(c)
-        for c in current.columns
-    ]
-    return source.join(found, same_key, "left").where(differs).select(*out)
+    out = [merged.get(c, _of("s" if c in keys else "t", c)).alias(c) for c in current.columns]
+    return pairs.where(differs).select(*out)
 
 
 def dedupe_latest(

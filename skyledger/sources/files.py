@@ -91,7 +91,7 @@ def read_images(spark: SparkSession, path: str, drop_invalid: bool = False) -> D
 
 
 def with_file_name(df: DataFrame, out: str = "file_name") -> DataFrame:
-    """Add the name of the file each row came from. Call it right on a file scan."""
+    """Add the name of the file each row came from, as in its URI. Call it right on a file scan."""
     return df.withColumn(out, F.col("_metadata.file_name"))
 
 

@@ -1,0 +1,91 @@
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from skyledger.operators import (
+    Expectation, QualityError, assign_ids, available_codes, code_pool, failures, new_members, passed, validate,
+)
+from skyledger.plans import masterdata
+from skyledger.plans.specs import EXPECTED_COLUMNS
+from skyledger.sources import union_files
+
+
+def test_codes(spark):
+    pool = code_pool(spark, 2)
+    assert pool.count() == 676 == pool.distinct().count()
+    assert rows(pool)[:2] == [("AA",), ("AB",)] and rows(pool)[-1] == ("ZZ",)
+    used = spark.createDataFrame([("AA",), ("ZZ",), ("ZZ",), (None,)], "iata string")
+    free = available_codes(pool, used, "iata")
+    assert free.count() == 674 and free.where("code in ('AA', 'ZZ')").isEmpty()
+
+
+def test_new_members(spark):
+    feed = spark.createDataFrame([("USA",), ("UK",), ("UK",), (None,), ("Oman",)], "country string")
+    master = spark.createDataFrame([("UK",), (None,)], "iso2 string")
+    assert rows(new_members(feed, master, "country", "iso2")) == [("Oman",), ("USA",)]
+
+
+def test_ids_in_order(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
+    got = assign_ids(df.repartition(6), "v", base=5000, start=10)
+    assert [(int(i), v) for v, i in sorted(rows(got, "v", "id"), key=lambda r: r[0])] == [
+        (5010 + n, n) for n in range(1000)
+    ]
+
+
+def test_ids_of_nothing(spark):
+    assert assign_ids(spark.range(0), "id", id_col="new").count() == 0
+
+
+def test_discovered_countries(spark):
+    feed = spark.createDataFrame([("usa",), ("Oman",)], "country string")
+    master = spark.createDataFrame([("3000004", "XX")], "id string, iso2 string")
+    got = masterdata.discover_countries(feed, master, "t1", continent="AS")
+    assert rows(got, "id", "name", "iso2", "capital", "continent", "population", "updated_at") == [
+        ("3000005", "Oman", "OM", "Capital Oman", "AS", None, "t1"),
+        ("3000006", "usa", "US", "Capital usa", "AS", None, "t1"),
+    ]
+
+
+def test_added_members(spark):
+    master = spark.createDataFrame([("1000000", "AA"), ("1000001", "AC")], "id string, iata string")
+    candidates = spark.createDataFrame([("b",), ("a",), ("c",)], "name string")
+    got = masterdata.add_members(master, candidates, "airlines", {"iata": 2}, "name", "t1")
+    assert rows(got, "id", "name", "iata", "created_at") == [
+        ("1000002", "a", "AB", "t1"), ("1000003", "b", "AD", "t1"), ("1000004", "c", "AE", "t1"),
+    ]
+    full = code_pool(spark, 1, "iata").where("iata <> 'Q'").withColumn("id", F.lit("1"))
+    with pytest.raises(Exception, match="no free iata left"):
+        masterdata.add_members(full, candidates, "airlines", {"iata": 1}, "name", "t1").collect()
+
+
+def test_master_updates(spark):
+    airlines = spark.createDataFrame([("1", "active", "ATL", "t0")], "id string, status string, hub string, updated_at string")
+    change = spark.createDataFrame([("1", "bankrupt", "FRA")], "id string, status string, hub string")
+    assert rows(masterdata.update_airlines(airlines, change, "t1")) == [("1", "bankrupt", "FRA", "t1")]
+    airports = spark.createDataFrame([("1", "Berlin", "DE", "t0"), ("2", "Rome", "IT", "t0")], "id string, airport_name string, country_iso2 string, updated_at string")
+    change = spark.createDataFrame([("1", "FR")], "id string, country_iso2 string")
+    assert rows(masterdata.update_airports(airports, change, "t1")) == [
+        ("1", "Updated Berlin", "FR", "t1"), ("2", "Rome", "IT", "t0"),
+    ]
+    countries = spark.createDataFrame([("1", "Paris", "5", "t0")], "id string, capital string, population string, updated_at string")
+    change = spark.createDataFrame([("1", 7)], "id string, population int")
+    assert rows(masterdata.update_countries(countries, change, F.lit("t1"))) == [("1", "New Paris", "7", "t1")]
+    cities = spark.createDataFrame([("1", "UTC", "1.0", "2.0", "t0")], "id string, timezone string, latitude string, longitude string, updated_at string")
+    change = spark.createDataFrame([("1", "UTC+1", 1.23456789, -2.5)], "id string, timezone string, latitude double, longitude double")
+    assert rows(masterdata.update_cities(cities, change, "t1")) == [("1", "UTC+1", "1.234568", "-2.5", "t1")]
+
+
+def test_quality(spark):
+    df = spark.createDataFrame([("1", "x", "XX", "c", "EU", "5")], "id string, name string, iso2 string, capital string, continent string, population string")
+    asked = [Expectation(c) for c in EXPECTED_COLUMNS["countries"]]
+    report = validate(df, "countries", asked)
+    assert report.where("success").count() == 5
+    assert rows(failures(report), "column", "detail") == [("population2", "no column population2")]
+    empty = validate(df.where("id = '9'"), "empty", asked)
+    assert rows(empty.select("status", "success").distinct()) == [("skipped", None)]
+    both = union_files([report, empty])
+    assert rows(passed(both)) == [("countries", False, 6), ("empty", True, 6)]
+    with pytest.raises(QualityError, match="population2"):
+        validate(df, "countries", asked, on_fail="raise")
+    assert validate(df, "countries", asked[:2], on_fail="raise").count() == 2

@@ -1,0 +1,106 @@
+import json
+
+from helpers import png, rows
+from pyspark.sql import functions as F
+
+from skyledger.operators import extract_text, flight_table_json, image_metadata, parse_flight_table
+from skyledger.plans.images import FLIGHT_JSON, METADATA_TEXT, flight_table_ocr_json, image_metadata_with_text
+from skyledger.sinks import publish
+from skyledger.sources import read_files, read_images
+
+TEXT = (
+    "Flight Airline From To Aircraft Distance Status\n"
+    "AA1 UA JFK LHR Boeing 737 MAX 5500km landed\n"
+    "\n"
+    " A B C D E F \n"
+    "Xkm1 Y DEL BOM A320 12kmkm late\t\r\n"
+)
+
+
+def test_flight_lines(spark):
+    df = spark.createDataFrame([(1, TEXT), (2, None), (3, "")], "id int, text string")
+    parsed = parse_flight_table(df, "text")
+    assert parsed.columns == ["id", "Flight", "Airline", "From", "To", "Aircraft", "Distance", "Status"]
+    picked = ("Flight", "To", "Aircraft", "Distance", "Status")
+    assert rows(parsed, *picked) == [
+        ("AA1", "LHR", "Boeing 737 MAX", "5500", "landed"),
+        ("Flight", "To", "Aircraft", "Distance", "Status"),
+        ("Xkm1", "BOM", "A320", "12", "late"),
+    ]
+    assert parse_flight_table(df, "text", skip_header=True).count() == 2
+
+
+def test_flight_json_keeps_line_order(spark):
+    df = spark.createDataFrame([(1, TEXT), (2, None), (3, "")], "id int, text string")
+    got = dict(rows(flight_table_json(df, "text", skip_header=True)))
+    assert [r["Flight"] for r in json.loads(got[1])] == ["AA1", "Xkm1"]
+    assert got[2] == got[3] == "[]"
+    assert len(json.loads(dict(rows(flight_table_json(df, "text")))[1])) == 3
+
+
+def test_extract_text_contract(spark):
+    df = spark.createDataFrame([(1, "ab", "SUCCESS"), (2, "", "SUCCESS"), (3, "x", "ERROR: old")],
+                               "id int, body string, decode_status string")
+
+    def reader(body):
+        if not body:
+            raise ValueError("nothing there")
+        return body.upper()
+
+    got = extract_text(df, reader, ["body"])
+    assert rows(got, "id", "decode_status", "ocr_text") == [
+        (1, "SUCCESS", "AB"), (2, "ERROR: nothing there", ""), (3, "ERROR: old", ""),
+    ]
+
+
+def pictures(folder):
+    for name, data in {
+        "rgb.png": png(2, 2, 3, range(1, 13)),
+        "gray.png": png(2, 1, 1, [9, 8]),
+        "rgba.png": png(1, 1, 4, [1, 2, 3, 4]),
+        "wide one.png": png(3, 3, 3, range(27)),
+        "broken.jpg": b"not a picture",
+        "empty.jpg": b"",
+    }.items():
+        (folder / name).write_bytes(data)
+    return str(folder)
+
+
+def test_image_metadata(spark, tmp_path):
+    got = image_metadata(read_images(spark, pictures(tmp_path)))
+    assert rows(got.withColumn("file_name", F.replace("file_name", F.lit("%20"), F.lit(" ")))) == [
+        ("broken.jpg", "ERROR: undecodable", None, None, None, None, ""),
+        ("gray.png", "SUCCESS", 1, 2, 1, "L", "[[9, 8]]"),
+        ("rgb.png", "SUCCESS", 2, 2, 3, "RGB", "[[[1, 2, 3], [4, 5, 6]], [[7, 8, 9], [10, 11, 12]]]"),
+        ("rgba.png", "SUCCESS", 1, 1, 4, "RGBA", "[[[1, 2, 3, 4]]]"),
+        ("wide one.png", "SUCCESS", 3, 3, 3, "RGB", "[[[0, 1, 2], [3, 4, 5]], [[9, 10, 11], [12, 13, 14]]]"),
+    ]
+    assert read_images(spark, str(tmp_path), drop_invalid=True).count() == 4
+
+
+def test_image_tables(spark, tmp_path):
+    def reader(height, width, channels, data):
+        if channels == 4:
+            raise ValueError("no text here")
+        return f"AA1 UA JFK LHR Boeing {data[0]} {height}x{width} 5km landed"
+
+    images = read_images(spark, pictures(tmp_path))
+    plain = image_metadata_with_text(images)
+    assert tuple(plain.columns) == METADATA_TEXT
+    read = {r["file_name"]: r for r in image_metadata_with_text(images, reader).collect()}
+    assert read["rgb.png"]["ocr_text"] == "AA1 UA JFK LHR Boeing 3 2x2 5km landed"
+    assert read["rgba.png"]["decode_status"] == "ERROR: no text here"
+    assert read["rgba.png"]["height"] is None and read["rgba.png"]["pixel_data"] == ""
+    flights = flight_table_ocr_json(images, reader)
+    assert tuple(flights.columns) == FLIGHT_JSON
+    read = {r["file_name"]: r["ocr_text"] for r in flights.collect()}
+    assert json.loads(read["gray.png"])[0]["Aircraft"] == "Boeing 9 1x2"
+    assert read["broken.jpg"] == read["rgba.png"] == ""
+    publish(images, "stored_images")
+    assert spark.table("stored_images").where("image.height > 0").count() == 4
+
+
+def test_binary_files(spark, tmp_path):
+    found = read_files(spark, pictures(tmp_path), "*.png")
+    assert found.columns == ["path", "modificationTime", "length", "content"]
+    assert found.count() == 4
