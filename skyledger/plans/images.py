@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import extract_text, flight_table_json, image_metadata
+from ..sinks import ensure_namespace, publish
+from ..sources import read_images
+from .silver import Layers
+from .specs import IMAGE_FLIGHTS_TABLE, IMAGE_TEXT_TABLE
 
 # Columns of the two tables, in table order.
 METADATA_TEXT = (
@@ -52,3 +56,19 @@ def flight_table_ocr_json(
     parsed = flight_table_json(rows, "ocr_text")
     text = F.when(F.col("decode_status") == "SUCCESS", F.col("ocr_text")).otherwise("")
     return parsed.withColumn("ocr_text", text).select(*FLIGHT_JSON)
+
+
+def load_images(
+    spark: SparkSession, layers: Layers, read_text: Callable[..., str] | None = None,
+    timetable_text: Callable[..., str] | None = None, glob: str = "*/*/*/images/*.jpg",
+) -> None:
+    """Rebuild both image tables from all days' pictures.
+
+    The two tables may use different readers; ``timetable_text`` defaults to
+    ``read_text``.
+    """
+    ensure_namespace(spark, layers.silver)
+    images = read_images(spark, f"{layers.root}/{glob}")
+    publish(image_metadata_with_text(images, read_text), f"{layers.silver}.{IMAGE_TEXT_TABLE}")
+    flights = flight_table_ocr_json(images, timetable_text or read_text)
+    publish(flights, f"{layers.silver}.{IMAGE_FLIGHTS_TABLE}")
