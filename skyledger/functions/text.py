@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character that counts as white space, as the body of a regex class.
-WHITE = (
-    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# White space of all scripts, plus the four separator control codes, as a regex class body.
+WHITE = r"\s\x1c-\x1f"
+UNICODE = "(?U)"
 
 
 def titled(c: Column) -> Column:
@@ -24,16 +22,16 @@ def coded(c: Column) -> Column:
 
 def stripped(c: Column) -> Column:
     """Drop white space of any kind (tabs too, unlike ``trim``) from both ends."""
-    return F.regexp_replace(c, f"^[{WHITE}]+|[{WHITE}]+$", "")
+    return F.regexp_replace(c, f"{UNICODE}^[{WHITE}]+|[{WHITE}]+$", "")
 
 
 def words(c: Column) -> Column:
     """The white-space separated tokens; an empty array for blank text."""
-    return F.array_remove(F.split(c, f"[{WHITE}]+"), "")
+    return F.array_remove(F.split(c, f"{UNICODE}[{WHITE}]+"), "")
 
 
 def first_word(c: Column) -> Column:
-    return F.regexp_extract(c, f"[^{WHITE}]+", 0)
+    return F.regexp_extract(c, f"{UNICODE}[^{WHITE}]+", 0)
 
 
 def callsign(c: Column) -> Column:

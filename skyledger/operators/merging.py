@@ -52,36 +52,39 @@ def merge_upsert(
     ``fill_after_merge`` gives defaults for what is null on both sides, for
     sources that were not filled before.
 
-    A full outer join would shuffle the whole target for any batch, and no hot
-    key of it could be split. So rows without a key skip the join, source rows
-    look up their target row, and target rows without a source row pass. With a
-    small source only its keys travel; with a big one both joins use the same
-    shuffle of the target, and adaptive execution cuts a hot key of the left
-    side into several tasks.
+    Two small sides are joined just so. Otherwise that join would shuffle the
+    whole target for any batch, and no hot key of it could be split. So rows
+    without a key skip the join, source rows look up their target row, and
+    target rows without a source row pass. With a small source only its keys
+    travel; with a big one both joins use the same shuffle of the target, and
+    adaptive execution cuts a hot key of the left side into several tasks.
     """
     keys = _names(keys)
     columns = list(columns or dict.fromkeys([*target.columns, *source.columns]))
     values = [c for c in columns if c not in keys]
     old_all = target.select(*[c for c in target.columns if c in columns or c in keys])
     new_all = source.select(*[c for c in source.columns if c in columns or c in keys])
-    keyless = _any_null(keys)
-    old, new = old_all.where(~keyless), new_all.where(~keyless)
-
-    untouched = old.join(new.select(*keys).distinct(), keys, "left_anti")
-    # Aliases, not new names: with equal columns both joins can share the target's shuffle.
-    pairs = new.alias("s").join(_keyed_like(old, new, keys).alias("t"), _same(keys), "left")
 
     def merged(c: str) -> Column:
-        if c not in new.columns:
+        if c not in new_all.columns:
             return _of("t", c).alias(c)
-        if c not in old.columns or c in keys:
+        if c not in old_all.columns:
             return _of("s", c).alias(c)
         return F.coalesce(_of("s", c), _of("t", c)).alias(c)
 
-    rows = pairs.select(*[merged(c) for c in [*keys, *values]])
-    for part in (untouched, old_all.where(keyless), new_all.where(keyless)):
-        rows = rows.unionByName(part, allowMissingColumns=True)
-    rows = rows.select(*columns)
+    if looks_small(old_all) and looks_small(new_all):
+        pairs = new_all.alias("s").join(old_all.alias("t"), _same(keys), "full")
+        rows = pairs.select(*[merged(c) for c in columns])
+    else:
+        keyless = _any_null(keys)
+        old, new = old_all.where(~keyless), new_all.where(~keyless)
+        untouched = old.join(new.select(*keys).distinct(), keys, "left_anti")
+        # Aliases, not new names: with equal columns both joins can share the target's shuffle.
+        pairs = new.alias("s").join(_keyed_like(old, new, keys).alias("t"), _same(keys), "left")
+        rows = pairs.select(*[merged(c) for c in [*keys, *values]])
+        for part in (untouched, old_all.where(keyless), new_all.where(keyless)):
+            rows = rows.unionByName(part, allowMissingColumns=True)
+        rows = rows.select(*columns)
     return rows.na.fill(dict(fill_after_merge)) if fill_after_merge else rows
 
 

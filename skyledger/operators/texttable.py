@@ -26,22 +26,26 @@ def _fields(tokens: Column) -> dict[str, Column]:
     }
 
 
-def _header(tokens: Column) -> Column:
-    return tokens == F.array(*[F.lit(name) for name in FLIGHT_LINE])
+def _flight_tokens(text: Column, skip_header: bool) -> Column:
+    """The tokens of each line that counts as a flight row."""
+    heading = F.array(*[F.lit(name) for name in FLIGHT_LINE])
+
+    def counts(tokens: Column) -> Column:
+        enough = F.size(tokens) >= FEWEST
+        return enough & (tokens != heading) if skip_header else enough
+
+    return F.filter(F.transform(F.split(text, "\n"), words), counts)
 
 
 def parse_flight_table(df: DataFrame, text_col: str, skip_header: bool = False) -> DataFrame:
     """One row per text line of seven words or more, next to the other columns of ``df``.
 
     A heading line counts as a row unless ``skip_header``. No shuffle: a text
-    is split inside its own task.
+    is split inside its own task, and each line only once.
     """
     others = [c for c in df.columns if c != text_col]
-    lines = df.select(*others, F.explode(F.split(text_col, "\n")).alias("__line"))
-    tokens = lines.select(*others, words(F.col("__line")).alias("__tokens"))
-    rows = tokens.where(F.size("__tokens") >= FEWEST)
-    if skip_header:
-        rows = rows.where(~_header(F.col("__tokens")))
+    lines = _flight_tokens(F.col(text_col), skip_header)
+    rows = df.select(*others, F.explode(lines).alias("__tokens"))
     fields = _fields(F.col("__tokens"))
     return rows.select(*others, *[value.alias(name) for name, value in fields.items()])
 
@@ -51,14 +55,9 @@ def flight_table_json(
 ) -> DataFrame:
     """Replace the text by the JSON array of its flight rows; ``[]`` when it has none."""
     others = [c for c in df.columns if c != text_col]
-    lines = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), words)
-
-    def counts(tokens: Column) -> Column:
-        long_enough = F.size(tokens) >= FEWEST
-        return long_enough & ~_header(tokens) if skip_header else long_enough
+    lines = _flight_tokens(F.coalesce(F.col(text_col), F.lit("")), skip_header)
 
     def record(tokens: Column) -> Column:
         return F.struct(*[value.alias(name) for name, value in _fields(tokens).items()])
 
-    rows = F.transform(F.filter(lines, counts), record)
-    return df.select(*others, F.to_json(rows).alias(out))
+    return df.select(*others, F.to_json(F.transform(lines, record)).alias(out))

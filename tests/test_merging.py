@@ -4,6 +4,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from skyledger.operators import merging
 from skyledger.operators import (
     apply_updates, attach_facts, changed_rows, dedupe_latest, enrich, merge_upsert,
 )
@@ -42,8 +43,8 @@ def expected_upsert(target, source):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_upsert_equals_full_outer_join(spark, seed, threshold):
+@pytest.mark.parametrize("small", [{"target", "source"}, {"source"}, set()])
+def test_upsert_equals_full_outer_join(spark, monkeypatch, seed, small):
     rng = random.Random(seed)
 
     def some(n, keys):
@@ -53,16 +54,15 @@ def test_upsert_equals_full_outer_join(spark, seed, threshold):
         ]
 
     # Repeated keys on both sides as well.
-    target, source = some(30, 20), some(40, 25)
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, threshold)
-    try:
-        got = rows(merge_upsert(
-            spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA), "id"
-        ))
-    finally:
-        spark.conf.set(key, before)
+    target, source = some(30, 20), some(60, 25)
+    # Target and source differ in length, keyless rows or not.
+    lengths = {len(source), sum(r[0] is not None for r in source)}
+    monkeypatch.setattr(
+        merging, "looks_small", lambda df: ("source" if df.count() in lengths else "target") in small
+    )
+    got = rows(merge_upsert(
+        spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA), "id"
+    ))
     want = rows(spark.createDataFrame(expected_upsert(target, source), SCHEMA))
     assert got == want
 

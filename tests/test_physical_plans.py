@@ -56,7 +56,7 @@ def hot(spark, tmp_path_factory):
 
 
 def split(plan):
-    return "AQEShuffleRead" in plan and re.search(r"SortMergeJoin\(skew=true\)", plan) is not None
+    return re.search(r"(SortMergeJoin|ShuffledHashJoin)\(skew=true\)", plan) is not None
 
 
 def test_no_operator_pairs_everything(spark, hot):
@@ -75,7 +75,9 @@ def test_no_operator_pairs_everything(spark, hot):
 
 def test_small_batch_does_not_shuffle_the_target(spark, hot):
     many, ones = hot
-    plan = plan_of(merge_upsert(many.select("k", "text"), ones.select("k", F.lit("t").alias("text")).limit(50), "k"))
+    batch = ones.select("k", F.lit("t").alias("text")).limit(50)
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "500KB"}):
+        plan = plan_of(merge_upsert(many.select("k", "text"), batch, "k"))
     final = plan.split("Initial Plan")[0]
     assert "SortMergeJoin" not in final and "LeftSemi, BuildRight" in final and "LeftAnti, BuildRight" in final
 
