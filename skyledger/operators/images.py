@@ -45,8 +45,8 @@ def extract_text(
 
     A row whose call fails gets empty text and ``ERROR: <message>`` in
     ``status``; a row that already has an error status is not called. ``inputs``
-    are dropped from the result. Rows go to Python in Arrow batches of
-    ``spark.sql.execution.arrow.maxRecordsPerBatch``; lower it for big images.
+    are dropped from the result. Rows go to Python in Arrow batches bounded by
+    ``spark.sql.execution.arrow.maxBytesPerBatch``, so big inputs make short batches.
     """
     kept = [f for f in df.schema.fields if f.name not in (*inputs, out, status)]
     schema = StructType(

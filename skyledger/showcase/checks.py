@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import Expectation, failures, passed, validate
 from ..plans.specs import EXPECTED_COLUMNS
@@ -41,9 +42,12 @@ REPORT_SQL = (
 )
 
 
-@shown(f"{REPORT_SQL} SELECT *, 'expect_column_to_exist' AS expectation FROM report")
+@shown(
+    f"{REPORT_SQL} SELECT * REPLACE (CAST(success AS VARCHAR) AS success), "
+    "'expect_column_to_exist' AS expectation FROM report"
+)
 def validate_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _report(spark, sf_dir)
+    return _report(spark, sf_dir).withColumn("success", F.col("success").cast("string"))
 
 
 @shown(f"{REPORT_SQL} SELECT dataset, \"column\", detail FROM report WHERE status = 'failed'")

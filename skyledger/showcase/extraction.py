@@ -86,7 +86,7 @@ def _bitmap(key: Column, width: Column, height: Column) -> Column:
     return F.unhex(F.concat(header, F.repeat(row, height.cast("int"))))
 
 
-def _pictures(spark: SparkSession, sf_dir: str) -> str:
+def picture_files(spark: SparkSession, sf_dir: str) -> str:
     """One small bitmap per supplier, every seventh spoilt; written by Spark's text sink."""
     path = work_dir(spark, "images")
     key = F.col("s_suppkey")
@@ -100,6 +100,11 @@ def _pictures(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def _numbers(rows: DataFrame) -> DataFrame:
+    """Sizes as doubles: engines agree on how those show a missing value."""
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("height", "width", "n_channels")})
+
+
 PIXELS_SQL = (
     "(SELECT s_suppkey AS picture, s_suppkey % 7 = 0 AS bad, s_suppkey % 5 + 1 AS w, s_suppkey % 3 + 1 AS h, "
     "'[' || (s_suppkey % 100) || ', 0, 7]' AS p0, ', [' || (s_suppkey % 100) || ', 1, 7]' AS p1 FROM supplier) AS s"
@@ -112,14 +117,14 @@ SAMPLE_SQL = (
 
 @shown(
     "SELECT picture, CASE WHEN bad THEN 'ERROR: undecodable' ELSE 'SUCCESS' END AS decode_status, "
-    "CASE WHEN NOT bad THEN CAST(h AS INTEGER) END AS height, "
-    "CASE WHEN NOT bad THEN CAST(w AS INTEGER) END AS width, "
-    "CASE WHEN NOT bad THEN 3 END AS n_channels, CASE WHEN NOT bad THEN 'RGB' END AS mode, "
+    "CASE WHEN NOT bad THEN CAST(h AS DOUBLE) END AS height, "
+    "CASE WHEN NOT bad THEN CAST(w AS DOUBLE) END AS width, "
+    "CASE WHEN NOT bad THEN CAST(3 AS DOUBLE) END AS n_channels, CASE WHEN NOT bad THEN 'RGB' END AS mode, "
     f"CASE WHEN bad THEN '' ELSE {SAMPLE_SQL} END AS pixel_data FROM {PIXELS_SQL}"
 )
 def image_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    images = read_images(spark, _pictures(spark, sf_dir))
-    rows = image_metadata(images).drop("file_name")
+    images = read_images(spark, picture_files(spark, sf_dir))
+    rows = _numbers(image_metadata(images).drop("file_name"))
     return rows.withColumn("picture", F.col("picture").cast("long"))
 
 
@@ -129,8 +134,8 @@ def _timetable(height: int, width: int, channels: int, data: bytes) -> str:
 
 @shown(
     "SELECT picture, CASE WHEN bad THEN 'ERROR: undecodable' ELSE 'SUCCESS' END AS decode_status, "
-    "CASE WHEN NOT bad THEN CAST(h AS INTEGER) END AS height, "
-    "CASE WHEN NOT bad THEN CAST(w AS INTEGER) END AS width, CASE WHEN NOT bad THEN 3 END AS n_channels, "
+    "CASE WHEN NOT bad THEN CAST(h AS DOUBLE) END AS height, "
+    "CASE WHEN NOT bad THEN CAST(w AS DOUBLE) END AS width, CASE WHEN NOT bad THEN CAST(3 AS DOUBLE) END AS n_channels, "
     "CASE WHEN bad THEN '' ELSE '[{\"Flight\":\"A' || (picture % 100) || '\",\"Airline\":\"B\","
     "\"From\":\"JFK\",\"To\":\"LHR\",\"Aircraft\":\"Boeing ' || w || ' x ' || h || "
     "'\",\"Distance\":\"3\",\"Status\":\"landed\"}]' END AS ocr_text "
@@ -138,11 +143,11 @@ def _timetable(height: int, width: int, channels: int, data: bytes) -> str:
 )
 def image_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flight rows a reader finds on pictures; the picture's number is its folder's name."""
-    images = read_images(spark, _pictures(spark, sf_dir))
+    images = read_images(spark, picture_files(spark, sf_dir))
     folder = F.regexp_extract("image.origin", "picture=([0-9]+)", 1)
     fields = [F.col("image")[f].alias(f) for f in ("height", "width", "nChannels", "mode", "data")]
     named = images.select(F.struct(folder.alias("origin"), *fields).alias("image"))
-    rows = image_plans.flight_table_ocr_json(named, _timetable)
+    rows = _numbers(image_plans.flight_table_ocr_json(named, _timetable))
     return rows.select(F.col("file_name").cast("long").alias("picture"), "*").drop("file_name")
 
 

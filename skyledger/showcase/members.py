@@ -112,3 +112,38 @@ def update_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s_suppkey AS id", "CAST(s_nationkey AS STRING) AS country_iso2"
     )
     return masterdata.update_airports(airports, changes, STAMP)
+
+
+@shown(
+    f"{with_sql(countries=view_sql('supplier_countries'))} SELECT s.id, s.name, s.iso2, "
+    "CASE WHEN c.c_custkey IS NULL THEN s.capital ELSE 'New ' || s.capital END AS capital, "
+    "s.continent, CASE WHEN c.c_custkey IS NULL THEN s.population "
+    "ELSE CAST(c.c_custkey * 1000 AS VARCHAR) END AS population, "
+    f"CASE WHEN c.c_custkey IS NULL THEN '' ELSE '{STAMP}' END AS updated_at "
+    "FROM countries s LEFT JOIN customer c ON s.id = CAST(c.c_custkey * 3 AS VARCHAR)"
+)
+def update_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    countries = view(spark, sf_dir, "supplier_countries").selectExpr("*", "'' AS updated_at")
+    changes = table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey * 3 AS STRING) AS id", "c_custkey * 1000 AS population"
+    )
+    return masterdata.update_countries(countries, changes, STAMP)
+
+
+@shown(
+    f"{with_sql(cities=view_sql('cities'))} SELECT i.id, i.iata_code, i.city_name, i.country_iso2, "
+    "CASE WHEN o.o_orderkey IS NULL THEN i.latitude ELSE round(o.o_totalprice / 7, 6) END AS latitude, "
+    "CASE WHEN o.o_orderkey IS NULL THEN CAST(i.longitude AS DOUBLE) "
+    "ELSE round(o.o_totalprice / 9, 6) END AS longitude, "
+    "CASE WHEN o.o_orderkey IS NULL THEN i.timezone ELSE 'UTC-5' END AS timezone, "
+    f"CASE WHEN o.o_orderkey IS NULL THEN '' ELSE '{STAMP}' END AS updated_at "
+    "FROM cities i LEFT JOIN orders o ON i.id = CAST(o.o_orderkey * 2 AS VARCHAR)"
+)
+def update_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cities = view(spark, sf_dir, "cities").selectExpr("*", "'' AS updated_at")
+    cities = cities.withColumn("longitude", cities["longitude"].cast("double"))
+    changes = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey * 2 AS id", "'UTC-5' AS timezone", "o_totalprice / 7 AS latitude",
+        "o_totalprice / 9 AS longitude",
+    )
+    return masterdata.update_cities(cities, changes, STAMP)

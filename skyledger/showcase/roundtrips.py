@@ -50,23 +50,21 @@ def roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_lines(spark, path, events.schema)
 
 
-@shown(
-    "SELECT 'a' AS kind, s_name AS name, s_suppkey AS id FROM supplier UNION ALL "
-    "SELECT 'b', upper(s_name), s_suppkey FROM supplier"
-)
+ARRAY_ROWS = 100
+
+
+@shown("SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders")
 def json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON-array file per supplier, two elements each; inferred on reading."""
+    """Orders in JSON-array files of at most a hundred elements; types inferred on reading."""
     path = work_dir(spark, "arrays")
-    pairs = F.array(
-        F.struct(F.lit("a").alias("kind"), F.col("s_name").alias("name"), F.col("s_suppkey").alias("id")),
-        F.struct(F.lit("b").alias("kind"), F.upper("s_name").alias("name"), F.col("s_suppkey").alias("id")),
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"
     )
-    (
-        table(spark, sf_dir, "supplier")
-        .select(F.col("s_suppkey").alias("file"), F.to_json(pairs).alias("value"))
-        .write.partitionBy("file")
-        .text(path)
+    file = F.floor(F.col("o_orderkey") / ARRAY_ROWS)
+    arrays = orders.groupBy(file.alias("file")).agg(
+        F.to_json(F.collect_list(F.struct(*orders.columns))).alias("value")
     )
+    arrays.write.partitionBy("file").text(path)
     return read_json_array(spark, f"{path}/*", recursiveFileLookup=True)
 
 
@@ -100,7 +98,7 @@ def rows_per_day_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @shown(
-    "SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, CAST(NULL AS INTEGER) AS nation "
+    "SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS nation "
     "FROM customer UNION ALL SELECT s_suppkey, s_name, NULL, s_nationkey FROM supplier"
 )
 def union_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +106,7 @@ def union_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey AS id", "c_name AS name", "c_mktsegment AS segment"
     )
     suppliers = table(spark, sf_dir, "supplier").selectExpr(
-        "s_suppkey AS id", "s_name AS name", "s_nationkey AS nation"
+        "s_suppkey AS id", "s_name AS name", "CAST(s_nationkey AS DOUBLE) AS nation"
     )
     return union_files([customers, suppliers])
 

@@ -107,7 +107,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
             "CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'c' || CAST(user_id AS STRING) END AS country",
             "CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN '' ELSE 'EAST side' END AS region",
             "value AS temperature_c",
-            "event_id % 100 AS humidity",
+            "CAST(event_id % 100 AS DOUBLE) AS humidity",
             "value * 2 AS wind_speed_kmh",
             "CASE WHEN event_id % 5 = 0 THEN NULL ELSE ' ' || event_type END AS weather_desc",
             "CAST(ts AS STRING) AS timestamp",
