@@ -94,6 +94,8 @@ def picture_files(spark: SparkSession, sf_dir: str) -> str:
     (
         table(spark, sf_dir, "supplier")
         .select(key.alias("picture"), F.when(key % 7 == 0, F.lit("spoilt")).otherwise(bitmap).alias("value"))
+        # Making many files is slow work: give every core its share.
+        .repartition(spark.sparkContext.defaultParallelism, "picture")
         .write.partitionBy("picture")
         .text(path)
     )

@@ -50,22 +50,21 @@ def roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_lines(spark, path, events.schema)
 
 
-ARRAY_ROWS = 100
+ARRAY_ROWS = 1000
 
 
 @shown("SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders")
 def json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders in JSON-array files of at most a hundred elements; types inferred on reading."""
+    """Orders in JSON-array files of at most a thousand elements; types inferred on reading."""
     path = work_dir(spark, "arrays")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"
     )
-    file = F.floor(F.col("o_orderkey") / ARRAY_ROWS)
-    arrays = orders.groupBy(file.alias("file")).agg(
+    arrays = orders.groupBy(F.floor(F.col("o_orderkey") / ARRAY_ROWS)).agg(
         F.to_json(F.collect_list(F.struct(*orders.columns))).alias("value")
     )
-    arrays.write.partitionBy("file").text(path)
-    return read_json_array(spark, f"{path}/*", recursiveFileLookup=True)
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return read_json_array(spark, path)
 
 
 WEATHER_BACK = (
