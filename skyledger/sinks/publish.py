@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table_exists
 
@@ -37,11 +38,17 @@ def publish(
     ``append``: add the rows, creating the table when absent.
     ``overwrite_partitions``: replace only the partitions that occur in ``df``
     (the whole table when it has no partitions), so a rerun changes nothing.
+
+    A table of a catalog of its own (``catalog.namespace.table``) is written
+    through that catalog's atomic operations; ``fmt`` is for the built-in one.
     """
     spark = df.sparkSession
     if mode not in ("replace", "append", "overwrite_partitions"):
         raise ValueError(f"unknown mode {mode!r}")
     exists = table_exists(spark, table)
+    if table.count(".") > 1 and not table.startswith("spark_catalog."):
+        _publish_to_catalog(df, table, mode, exists, partition_by, sort_by)
+        return
     if not exists or mode == "replace" or (mode == "overwrite_partitions" and not partition_by):
         _replace(df, table, exists, partition_by, sort_by, fmt)
         return
@@ -61,6 +68,21 @@ def publish(
         spark.conf.set(key, before)
 
 
+def _publish_to_catalog(
+    df: DataFrame, table: str, mode: str, exists: bool, partition_by: Sequence[str],
+    sort_by: Sequence[str],
+) -> None:
+    writer = clustered(df, partition_by, sort_by).writeTo(table)
+    if mode == "replace" or not exists:
+        if partition_by:
+            writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
+        writer.createOrReplace()
+    elif mode == "append":
+        writer.append()
+    else:
+        writer.overwritePartitions()
+
+
 def _replace(
     df: DataFrame, table: str, exists: bool, partition_by: Sequence[str], sort_by: Sequence[str],
     fmt: str,

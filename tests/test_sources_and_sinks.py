@@ -156,3 +156,22 @@ def test_jdbc_replaces(spark, tmp_path):
     assert read_jdbc(spark, url, "numbers", props).count() == 3
     slices = {"partitionColumn": "id", "lowerBound": 0, "upperBound": 3, "numPartitions": 3}
     assert read_jdbc(spark, url, "numbers", props, slices).count() == 3
+
+
+def test_tables_of_another_catalog(spark, tmp_path):
+    """Spark's own JDBC catalog over an embedded database stands for any catalog plugin."""
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
+    settings = {
+        "": "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog",
+        ".url": f"jdbc:derby:memory:cat_{tmp_path.name};create=true",
+        ".driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver",
+    }
+    for key, value in settings.items():
+        spark.conf.set(f"spark.sql.catalog.other{key}", value)
+    ensure_namespace(spark, "other.SILVER")
+    table = "other.SILVER.T"
+    publish(spark.range(3), table)
+    publish(spark.range(2), table, "append")
+    assert spark.table(table).count() == 5
+    publish(spark.range(4), table)
+    assert spark.table(table).count() == 4
