@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import apply_updates, assign_ids, available_codes, code_pool, new_members
+from ..operators import (
+    apply_updates, assign_ids, available_codes, code_pool, merge_upsert, new_members,
+)
 from ..operators.members import number_rows
-from .specs import ID_BASE
+from ..sinks import publish
+from ..sources import read_csv, read_latest
+from .silver import Layers
+from .specs import DAILY_FOLDER, ID_BASE
 
 
 def next_start(master: DataFrame, base: int, id_col: str = "id") -> int:
@@ -43,6 +48,26 @@ def discover_countries(
     )
 
 
+def store_members(spark: SparkSession, layers: Layers, dimension: str, rows: DataFrame) -> None:
+    """Merge new or changed rows into the dimension's silver table."""
+    table = layers.silver_table(dimension)
+    publish(merge_upsert(spark.table(table), rows, "id"), table)
+
+
+def add_countries_from_weather(
+    spark: SparkSession, layers: Layers, stamp: str | Column, master_col: str = "iso2"
+) -> bool:
+    """Add the countries of the newest weather file; whether there was such a file."""
+    folder = DAILY_FOLDER["weather"]
+    weather = read_latest(spark, f"{layers.root}/*/*/*/csv/{folder}", folder, read_csv)
+    if weather is None:
+        return False
+    countries = spark.table(layers.silver_table("countries"))
+    found = discover_countries(weather, countries, stamp, master_col=master_col)
+    store_members(spark, layers, "countries", found)
+    return True
+
+
 def add_members(
     master: DataFrame, candidates: DataFrame, dimension: str, codes: dict[str, int],
     order_by: str, stamp: str | Column, start: int | None = None,

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, merge_upsert
+from ..operators import clean, dedupe_latest, merge_upsert
 from ..sinks import publish
 from ..sources import read_csv, read_day, read_json_array, table_exists
 from .specs import DAILY_FOLDER, DATASETS, Dataset
@@ -42,12 +42,19 @@ def read_raw(
 
 
 def load_dimension(
-    spark: SparkSession, layers: Layers, name: str, columns: Sequence[str] | None = None
+    spark: SparkSession, layers: Layers, name: str, columns: Sequence[str] | None = None,
+    latest_by: str | None = "updated_at",
 ) -> None:
-    """Clean a master file and merge it into its table, creating the table when absent."""
+    """Clean a master file and merge it into its table, creating the table when absent.
+
+    Of several rows with one id the latest by ``latest_by`` counts. With None
+    they all stay, and every later merge of that id pairs old with new ones.
+    """
     dataset = DATASETS[name]
     table = layers.silver_table(name)
     rows = clean(read_raw(spark, layers, dataset), dataset.spec)
+    if latest_by:
+        rows = dedupe_latest(rows, "id", latest_by)
     if table_exists(spark, table):
         rows = merge_upsert(spark.table(table), rows, "id", columns)
     publish(rows, table)

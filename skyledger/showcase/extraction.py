@@ -46,13 +46,6 @@ def flight_json_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flight_table_json(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
 
 
-def _title(html: str) -> str:
-    found = re.search("<title>([^<]*)</title>", html)
-    if not found:
-        raise ValueError("no title")
-    return found.group(1)
-
-
 @shown(
     "SELECT page_id, CASE WHEN regexp_matches(html, '<title>([^<]*)</title>') THEN 'SUCCESS' "
     "ELSE 'ERROR: no title' END AS decode_status, "
@@ -60,7 +53,15 @@ def _title(html: str) -> str:
 )
 def text_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's reader on every page; pages it cannot read get a status."""
-    return extract_text(table(spark, sf_dir, "pages").select("page_id", "html"), _title, ["html"])
+
+    # Readers are local functions, so they travel to the executors by value.
+    def title(html: str) -> str:
+        found = re.search("<title>([^<]*)</title>", html)
+        if not found:
+            raise ValueError("no title")
+        return found.group(1)
+
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "html"), title, ["html"])
 
 
 def _le(value: Column, size: int) -> Column:
@@ -130,10 +131,6 @@ def image_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("picture", F.col("picture").cast("long"))
 
 
-def _timetable(height: int, width: int, channels: int, data: bytes) -> str:
-    return f"A{data[2]} B JFK LHR Boeing {width} x {height} {channels}km landed\n\nshort line"
-
-
 @shown(
     "SELECT picture, CASE WHEN bad THEN 'ERROR: undecodable' ELSE 'SUCCESS' END AS decode_status, "
     "CASE WHEN NOT bad THEN CAST(h AS DOUBLE) END AS height, "
@@ -145,11 +142,15 @@ def _timetable(height: int, width: int, channels: int, data: bytes) -> str:
 )
 def image_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flight rows a reader finds on pictures; the picture's number is its folder's name."""
+
+    def timetable(height: int, width: int, channels: int, data: bytes) -> str:
+        return f"A{data[2]} B JFK LHR Boeing {width} x {height} {channels}km landed\n\nshort line"
+
     images = read_images(spark, picture_files(spark, sf_dir))
     folder = F.regexp_extract("image.origin", "picture=([0-9]+)", 1)
     fields = [F.col("image")[f].alias(f) for f in ("height", "width", "nChannels", "mode", "data")]
     named = images.select(F.struct(folder.alias("origin"), *fields).alias("image"))
-    rows = _numbers(image_plans.flight_table_ocr_json(named, _timetable))
+    rows = _numbers(image_plans.flight_table_ocr_json(named, timetable))
     return rows.select(F.col("file_name").cast("long").alias("picture"), "*").drop("file_name")
 
 

@@ -107,11 +107,14 @@ def read_latest(
     """Read the newest file below ``root`` whose path contains ``contains``; None without one.
 
     Only paths and times are read to find it, and each task keeps one row.
+    ``root`` may be a pattern; the narrower, the fewer folders are listed.
     """
+    listing = read_or_empty(
+        spark, lambda: read_files(spark, root, glob).select("path", "modificationTime"),
+        StructType().add("path", "string").add("modificationTime", "timestamp"),
+    )
     newest = (
-        read_files(spark, root, glob)
-        .select("path", "modificationTime")
-        .where(F.col("path").contains(contains))
+        listing.where(F.col("path").contains(contains))
         .orderBy(F.desc("modificationTime"), "path")
         .first()
     )

@@ -2,6 +2,7 @@
 
 import csv
 import json
+import os
 from datetime import date
 
 import pytest
@@ -9,7 +10,7 @@ from helpers import png, rows
 
 from skyledger import schemas
 from skyledger.operators import failures
-from skyledger.plans import gold
+from skyledger.plans import gold, masterdata
 from skyledger.plans.images import load_images
 from skyledger.plans.run import run
 from skyledger.plans.serving import load_raw, table_from_csv
@@ -111,6 +112,35 @@ def test_days(spark, tmp_path, layers):
     assert rows(table(layers.silver_table("countries"))) == [("1", "Deutschland", "80"), ("2", "France", None)]
 
 
+def test_repeated_ids(spark, tmp_path, layers):
+    repeated = [{"id": "1", "name": n, "updated_at": n} for n in ("a", "c", "b")]
+    put_csv(tmp_path / "raw/master/countries_data.csv", schemas.COUNTRIES, repeated)
+    ensure_namespace(spark, layers.silver)
+    table = layers.silver_table("countries")
+    for _ in range(2):
+        load_dimension(spark, layers, "countries")
+        assert rows(spark.table(table), "id", "name") == [("1", "C")]
+    spark.sql(f"DROP TABLE {table}")
+    load_dimension(spark, layers, "countries", latest_by=None)
+    assert spark.table(table).count() == 3
+
+
+def test_countries_grow_from_the_newest_weather_file(spark, tmp_path, layers):
+    put_masters(tmp_path / "raw")
+    ensure_namespace(spark, layers.silver)
+    load_dimension(spark, layers, "countries")
+    assert not masterdata.add_countries_from_weather(spark, layers, "t1")
+    for number, (day, name) in enumerate(((DAY, "oman"), (NEXT, "chad"))):
+        file = tmp_path / "raw" / f"{day:%Y/%m/%d}" / "csv/weather_data/w.csv"
+        put_csv(file, schemas.WEATHER, [{"country": name}, {"country": "Germany"}, {"country": name}])
+        os.utime(file, (5_000 - number, 5_000 - number))
+    for _ in range(2):
+        assert masterdata.add_countries_from_weather(spark, layers, "t1", master_col="name")
+        assert rows(spark.table(layers.silver_table("countries")), "id", "name", "iso2", "capital") == [
+            ("1", "Germany", "DE", "Unknown"), ("3000000", "oman", "OM", "Capital oman")
+        ]
+
+
 def test_a_failed_merge_keeps_the_table(spark, tmp_path, layers):
     put_masters(tmp_path / "raw")
     ensure_namespace(spark, layers.silver)
