@@ -12,6 +12,8 @@ from pyspark.sql.types import MapType, VariantType
 
 from ..session import looks_small
 
+OrderBy = str | Column | Sequence[str | Column]
+
 
 def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -43,27 +45,36 @@ def _keyed_like(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
 def merge_upsert(
     target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     columns: Sequence[str] | None = None, fill_after_merge: Mapping[str, str] | None = None,
+    latest_by: OrderBy | None = None,
 ) -> DataFrame:
     """``target`` brought up to date by ``source``: per column the source value unless null.
 
     The rows are those of a full outer join on ``keys``. A null key matches
-    nothing, and several source rows with one key all stay; the target holds
-    one row per key. ``columns`` defaults to the columns of both sides;
-    ``fill_after_merge`` gives defaults for what is null on both sides, for
-    sources that were not filled before.
+    nothing, and several source rows with one key all stay, unless ``latest_by``
+    tells which of them counts; the target holds one row per key. ``columns``
+    defaults to the columns of both sides; ``fill_after_merge`` gives defaults
+    for what is null on both sides, for sources that were not filled before.
 
     Two small sides are joined just so. Otherwise that join would shuffle the
     whole target for any batch, and no hot key of it could be split. So rows
-    without a key skip the join, source rows look up their target row, and
-    target rows without a source row pass. With a small source only its keys
-    travel; with a big one both joins use the same shuffle of the target, and
-    adaptive execution cuts a hot key of the left side into several tasks.
+    without a key skip the join, and
+
+    - with a small source only its keys travel: the target rows they name are
+      looked up, all others pass where they lie;
+    - a big source cut to one row per key has no hot key, and one outer join,
+      which finds the source partitioned already, is cheapest;
+    - else source rows look up their target row and target rows without a
+      source row pass. Both joins share one shuffle of the target, and adaptive
+      execution cuts a hot key of the left side into several tasks.
     """
     keys = _names(keys)
     columns = list(columns or dict.fromkeys([*target.columns, *source.columns]))
-    values = [c for c in columns if c not in keys]
-    old_all = target.select(*[c for c in target.columns if c in columns or c in keys])
-    new_all = source.select(*[c for c in source.columns if c in columns or c in keys])
+    keyless = _any_null(keys)
+
+    def picked(df: DataFrame) -> DataFrame:
+        return df.select(*[c for c in df.columns if c in columns or c in keys])
+
+    old_all, new_all = picked(target), picked(source)
 
     def merged(c: str) -> Column:
         if c not in new_all.columns:
@@ -72,19 +83,26 @@ def merge_upsert(
             return _of("s", c).alias(c)
         return F.coalesce(_of("s", c), _of("t", c)).alias(c)
 
-    if looks_small(old_all) and looks_small(new_all):
-        pairs = new_all.alias("s").join(old_all.alias("t"), _same(keys), "full")
-        rows = pairs.select(*[merged(c) for c in columns])
+    def joined(new: DataFrame, old: DataFrame, how: str) -> DataFrame:
+        # Aliases, not new names: with equal columns two joins can share the target's shuffle.
+        pairs = new.alias("s").join(old.alias("t"), _same(keys), how)
+        return pairs.select(*[merged(c) for c in dict.fromkeys([*keys, *columns])])
+
+    small = looks_small(new_all)
+    if small and looks_small(old_all):
+        once = dedupe_latest(source, keys, latest_by) if latest_by is not None else source
+        parts = [joined(picked(once), old_all, "full")]
     else:
-        keyless = _any_null(keys)
-        old, new = old_all.where(~keyless), new_all.where(~keyless)
-        untouched = old.join(new.select(*keys).distinct(), keys, "left_anti")
-        # Aliases, not new names: with equal columns both joins can share the target's shuffle.
-        pairs = new.alias("s").join(_keyed_like(old, new, keys).alias("t"), _same(keys), "left")
-        rows = pairs.select(*[merged(c) for c in [*keys, *values]])
-        for part in (untouched, old_all.where(keyless), new_all.where(keyless)):
-            rows = rows.unionByName(part, allowMissingColumns=True)
-        rows = rows.select(*columns)
+        keyed = source.where(~keyless)
+        new = picked(_latest(keyed, keys, latest_by) if latest_by is not None else keyed)
+        old = old_all.where(~keyless)
+        if latest_by is not None and not small:
+            parts = [joined(new, old, "full")]
+        else:
+            untouched = old.join(new.select(*keys).distinct(), keys, "left_anti")
+            parts = [joined(new, _keyed_like(old, new, keys), "left"), untouched]
+        parts += [old_all.where(keyless), new_all.where(keyless)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(*columns)
     return rows.na.fill(dict(fill_after_merge)) if fill_after_merge else rows
 
 
@@ -108,15 +126,7 @@ def changed_rows(current: DataFrame, source: DataFrame, keys: str | Sequence[str
     return pairs.where(differs).select(*out)
 
 
-def dedupe_latest(
-    df: DataFrame, keys: str | Sequence[str], order_by: str | Column | Sequence[str | Column]
-) -> DataFrame:
-    """One row per key: the greatest by ``order_by``; ties fall to the greatest other columns.
-
-    Rows with a null key stand for no key and all stay. Each task keeps one row
-    per key before the shuffle, so a hot key does not fill one task.
-    """
-    keys = _names(keys)
+def _latest(df: DataFrame, keys: Sequence[str], order_by: OrderBy) -> DataFrame:
     order = [order_by] if isinstance(order_by, str | Column) else list(order_by)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     rest = [
@@ -125,14 +135,19 @@ def dedupe_latest(
         if f.name not in keys and not isinstance(f.dataType, MapType | VariantType)
     ]
     by_rank = W.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in [*order, *rest]])
+    ranked = df.withColumn("__rank", F.row_number().over(by_rank))
+    return ranked.where(F.col("__rank") == 1).drop("__rank")
+
+
+def dedupe_latest(df: DataFrame, keys: str | Sequence[str], order_by: OrderBy) -> DataFrame:
+    """One row per key: the greatest by ``order_by``; ties fall to the greatest other columns.
+
+    Rows with a null key stand for no key and all stay. Each task keeps one row
+    per key before the shuffle, so a hot key does not fill one task.
+    """
+    keys = _names(keys)
     keyless = _any_null(keys)
-    latest = (
-        df.where(~keyless)
-        .withColumn("__rank", F.row_number().over(by_rank))
-        .where(F.col("__rank") == 1)
-        .drop("__rank")
-    )
-    return latest.unionByName(df.where(keyless))
+    return _latest(df.where(~keyless), keys, order_by).unionByName(df.where(keyless))
 
 
 def failing_on_repeats(
@@ -153,7 +168,7 @@ def failing_on_repeats(
 def apply_updates(
     df: DataFrame, updates: DataFrame, key: str, stamp_col: str | None = None,
     stamp: str | Column | None = None, derive: Mapping[str, Column] | None = None,
-    order_by: str | Column | Sequence[str | Column] | None = None,
+    order_by: OrderBy | None = None,
 ) -> DataFrame:
     """Change some columns of some rows.
 
@@ -167,7 +182,7 @@ def apply_updates(
     sets = [c for c in updates.columns if c != key and c in df.columns]
     asked = updates.where(F.col(key).isNotNull())
     if order_by is not None:
-        asked = dedupe_latest(asked, key, order_by)
+        asked = _latest(asked, [key], order_by)
     news = asked.select(
         F.col(key).cast("string").alias("__key"),
         F.lit(True).alias("__hit"),

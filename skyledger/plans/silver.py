@@ -53,10 +53,10 @@ def load_dimension(
     dataset = DATASETS[name]
     table = layers.silver_table(name)
     rows = clean(read_raw(spark, layers, dataset), dataset.spec)
-    if latest_by:
-        rows = dedupe_latest(rows, "id", latest_by)
     if table_exists(spark, table):
-        rows = merge_upsert(spark.table(table), rows, "id", columns)
+        rows = merge_upsert(spark.table(table), rows, "id", columns, latest_by=latest_by)
+    elif latest_by:
+        rows = dedupe_latest(rows, "id", latest_by)
     publish(rows, table)
 
 

@@ -129,3 +129,18 @@ def update_airlines_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, updates, "id", "updated_at", "2024-03-01T00:00:00",
         derive={"name": F.concat(F.lit("Updated "), F.col("name"))}, order_by="seq",
     )
+
+
+@shown(
+    f"{CHANGES}, latest AS ({LATEST_CHANGES} UNION ALL "
+    "SELECT id, name, iata, status FROM changes WHERE id IS NULL) "
+    "SELECT coalesce(s.id, t.id) AS id, coalesce(s.name, t.name) AS name, "
+    "coalesce(s.iata, t.iata) AS iata, coalesce(s.status, t.status) AS status, t.hub "
+    "FROM airlines t FULL OUTER JOIN latest s ON s.id = t.id"
+)
+def merge_latest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    airlines = view(spark, sf_dir, "airlines").select("id", "name", "iata", "status", "hub")
+    return merge_upsert(
+        airlines, view(spark, sf_dir, "airline_changes"), "id", columns=airlines.columns,
+        latest_by="seq",
+    )

@@ -65,14 +65,17 @@ def read_day(
     """
     if layout == "landed":
         path = f"{root}/{fmt}/{dataset}"
-        path += f"/year={run_date:%Y}/month={run_date:%m}/day={run_date:%d}" if run_date else "/*/*/*"
+        if run_date:
+            path += f"/year={run_date:%Y}/month={run_date:%m}/day={run_date:%d}"
     else:
         suffix = "csv" if fmt == "csv" else "json"
         day = f"{run_date:%Y/%m/%d}" if run_date else "*/*/*"
         path = f"{root}/{day}/{suffix}/{dataset}/*.{suffix}"
     if schema is None:
-        return READERS[fmt](spark, path)
-    return read_or_empty(spark, lambda: READERS[fmt](spark, path, schema), schema)
+        rows = READERS[fmt](spark, path)
+    else:
+        rows = read_or_empty(spark, lambda: READERS[fmt](spark, path, schema), schema)
+    return rows.drop("year", "month", "day") if layout == "landed" else rows
 
 
 def read_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -43,8 +43,9 @@ def expected_upsert(target, source):
 
 
 @pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("latest_by", [None, "population"])
 @pytest.mark.parametrize("small", [{"target", "source"}, {"source"}, set()])
-def test_upsert_equals_full_outer_join(spark, monkeypatch, seed, small):
+def test_upsert_equals_full_outer_join(spark, monkeypatch, seed, small, latest_by):
     rng = random.Random(seed)
 
     def some(n, keys):
@@ -54,15 +55,22 @@ def test_upsert_equals_full_outer_join(spark, monkeypatch, seed, small):
         ]
 
     # Repeated keys on both sides as well.
-    target, source = some(30, 20), some(60, 25)
+    target, source = some(20, 20), some(60, 25)
     # Target and source differ in length, keyless rows or not.
     lengths = {len(source), sum(r[0] is not None for r in source)}
     monkeypatch.setattr(
         merging, "looks_small", lambda df: ("source" if df.count() in lengths else "target") in small
     )
     got = rows(merge_upsert(
-        spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA), "id"
+        spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA), "id",
+        latest_by=latest_by,
     ))
+    if latest_by:
+        def rank(r):
+            return (r[2] is not None, r[2] or 0, r[1] is not None, r[1] or "")
+
+        last = {r[0]: r for r in sorted(source, key=rank) if r[0] is not None}
+        source = [r for r in source if r[0] is None] + list(last.values())
     want = rows(spark.createDataFrame(expected_upsert(target, source), SCHEMA))
     assert got == want
 

@@ -90,6 +90,16 @@ def test_big_batch_reuses_the_target_shuffle_and_splits_hot_keys(spark, hot):
     assert "FullOuter" not in plan
 
 
+def test_big_batch_cut_to_the_latest_is_one_join(spark, hot):
+    many, ones = hot
+    with conf(spark, NO_BROADCAST):
+        batch = many.withColumnRenamed("text", "old")
+        plan = plan_of(merge_upsert(ones, batch, "k", ["k", "old"], latest_by="n")).split("Initial Plan")[0]
+    assert plan.count("FullOuter") == 1 and "LeftAnti" not in plan
+    # One shuffle each: the batch lies by key after its latest rows are picked.
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_hot_fact_key_is_split(spark, hot):
     many, ones = hot
     with conf(spark, {**NO_BROADCAST, **SMALL_PARTITIONS}):
