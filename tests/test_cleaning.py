@@ -1,6 +1,10 @@
+from datetime import datetime, timezone
+
 from helpers import rows
 
-from skyledger.functions import callsign, first_word, stripped, words
+from skyledger.functions import (
+    callsign, day_path, first_word, iso_text, stripped, time_digits, utc_iso_now, words,
+)
 from skyledger.operators import CleanSpec, clean, clean_rows, standardize_all_strings
 from skyledger.plans import specs
 from pyspark.sql import functions as F
@@ -86,3 +90,21 @@ def test_text_functions(spark):
     assert tuple(got) == (
         "United  States　Air", ["United", "States", "Air"], "United", "UNITEDAI",
     )
+
+
+def test_time_texts(spark):
+    df = spark.sql(
+        "SELECT timestamp_ntz'2024-01-05 23:59:59.5' AS t UNION ALL SELECT timestamp_ntz'2024-12-31 00:00:00'"
+    )
+    t = F.col("t")
+    assert rows(df.select(day_path(t), time_digits(t), iso_text(t))) == [
+        ("2024/01/05", "235959", "2024-01-05T23:59:59.500000"),
+        ("2024/12/31", "000000", "2024-12-31T00:00:00"),
+    ]
+    before = datetime.now(timezone.utc).replace(tzinfo=None)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        now = datetime.fromisoformat(spark.range(1).select(utc_iso_now()).first()[0])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert abs((now - before).total_seconds()) < 60

@@ -1,8 +1,10 @@
 import json
+import random
 
 from helpers import png, rows
 from pyspark.sql import functions as F
 
+from skyledger.functions import words
 from skyledger.operators import extract_text, flight_table_json, image_metadata, parse_flight_table
 from skyledger.plans.images import FLIGHT_JSON, METADATA_TEXT, flight_table_ocr_json, image_metadata_with_text
 from skyledger.sinks import publish
@@ -104,3 +106,30 @@ def test_binary_files(spark, tmp_path):
     found = read_files(spark, pictures(tmp_path), "*.png")
     assert found.columns == ["path", "modificationTime", "length", "content"]
     assert found.count() == 4
+
+
+def test_white_space_of_all_scripts(spark):
+    codes = spark.range(0x110000).where("id not between 55296 and 57343 and id > 0")
+    wide = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "utf-32")
+    split = codes.where(F.size(words(F.concat(F.lit("a"), wide, F.lit("b")))) == 2)
+    assert {r[0] for r in split.collect()} == {c for c in range(0x110000) if chr(c).isspace()}
+
+
+def python_rows(text):
+    table = []
+    for line in text.split("\n"):
+        parts = line.split()
+        if len(parts) >= 7:
+            table.append((*parts[:4], " ".join(parts[4:-2]), parts[-2].replace("km", ""), parts[-1]))
+    return table
+
+
+def test_random_texts_like_a_plain_reader(spark):
+    rng = random.Random(5)
+    bits = ["km", "A1", "é", "12km", " ", "  ", "\t", " ", "\n", "\r\n", "　", "x", "\x1f", "-"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(120))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    want = sorted((i, *row) for i, t in enumerate(texts) for row in python_rows(t))
+    assert want and sorted(tuple(r) for r in parse_flight_table(df, "text").collect()) == want
+    got = {r["id"]: json.loads(r["ocr_text"]) for r in flight_table_json(df, "text").collect()}
+    assert all([tuple(r.values()) for r in got[i]] == python_rows(t) for i, t in enumerate(texts))
