@@ -56,25 +56,27 @@ def merge_upsert(
     for what is null on both sides, for sources that were not filled before.
 
     Two small sides are joined just so. Otherwise that join would shuffle the
-    whole target for any batch, and no hot key of it could be split. So rows
-    without a key skip the join, and
+    whole target for any batch, and no hot key of it could be split:
 
-    - with a small source only its keys travel: the target rows they name are
-      looked up, all others pass where they lie;
+    - a small source is broadcast to the target, which is read where it lies,
+      once in full and once for its key column, to tell which source rows are
+      new;
     - a big source cut to one row per key has no hot key, and one outer join,
       which finds the source partitioned already, is cheapest;
     - else source rows look up their target row and target rows without a
       source row pass. Both joins share one shuffle of the target, and adaptive
       execution cuts a hot key of the left side into several tasks.
+
+    With a big source, rows without a key skip the joins.
     """
     keys = _names(keys)
     columns = list(columns or dict.fromkeys([*target.columns, *source.columns]))
-    keyless = _any_null(keys)
 
     def picked(df: DataFrame) -> DataFrame:
         return df.select(*[c for c in df.columns if c in columns or c in keys])
 
-    old_all, new_all = picked(target), picked(source)
+    once = source if latest_by is None else dedupe_latest(source, keys, latest_by)
+    old_all, new_all = picked(target), picked(once)
 
     def merged(c: str) -> Column:
         if c not in new_all.columns:
@@ -88,20 +90,22 @@ def merge_upsert(
         pairs = new.alias("s").join(old.alias("t"), _same(keys), how)
         return pairs.select(*[merged(c) for c in dict.fromkeys([*keys, *columns])])
 
-    small = looks_small(new_all)
-    if small and looks_small(old_all):
-        once = dedupe_latest(source, keys, latest_by) if latest_by is not None else source
-        parts = [joined(picked(once), old_all, "full")]
+    if looks_small(new_all) and looks_small(old_all):
+        parts = [joined(new_all, old_all, "full")]
+    elif looks_small(new_all):
+        asked = new_all.select(*keys).distinct()
+        known = old_all.select(*keys).join(asked, keys, "left_semi").distinct()
+        parts = [joined(new_all, old_all, "right"), new_all.join(known, keys, "left_anti")]
     else:
-        keyed = source.where(~keyless)
-        new = picked(_latest(keyed, keys, latest_by) if latest_by is not None else keyed)
-        old = old_all.where(~keyless)
-        if latest_by is not None and not small:
-            parts = [joined(new, old, "full")]
+        keyless = _any_null(keys)
+        old, keyed = old_all.where(~keyless), source.where(~keyless)
+        if latest_by is not None:
+            parts = [joined(picked(_latest(keyed, keys, latest_by)), old, "full")]
         else:
+            new = picked(keyed)
             untouched = old.join(new.select(*keys).distinct(), keys, "left_anti")
-            parts = [joined(new, _keyed_like(old, new, keys), "left"), untouched]
-        parts += [old_all.where(keyless), new_all.where(keyless)]
+            parts = [joined(new, old, "left"), untouched]
+        parts += [old_all.where(keyless), picked(source.where(keyless))]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(*columns)
     return rows.na.fill(dict(fill_after_merge)) if fill_after_merge else rows
 

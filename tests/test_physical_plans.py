@@ -79,7 +79,10 @@ def test_small_batch_does_not_shuffle_the_target(spark, hot):
     with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "500KB"}):
         plan = plan_of(merge_upsert(many.select("k", "text"), batch, "k"))
     final = plan.split("Initial Plan")[0]
-    assert "SortMergeJoin" not in final and "LeftSemi, BuildRight" in final and "LeftAnti, BuildRight" in final
+    assert "SortMergeJoin" not in final and "ShuffledHashJoin" not in final
+    # Read once in full, and once for the key alone.
+    assert "RightOuter, BuildLeft" in final and "LeftSemi, BuildRight" in final
+    assert final.count("ReadSchema: struct<k:string,text:string>") == 1
 
 
 def test_big_batch_reuses_the_target_shuffle_and_splits_hot_keys(spark, hot):
