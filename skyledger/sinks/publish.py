@@ -15,6 +15,10 @@ def ensure_namespace(spark: SparkSession, namespace: str, location: str | None =
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{where}")
 
 
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def clustered(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
     """Bring rows of a partition together before a partitioned write.
 
@@ -49,13 +53,17 @@ def publish(
     if table.count(".") > 1 and not table.startswith("spark_catalog."):
         _publish_to_catalog(df, table, mode, exists, partition_by, sort_by)
         return
-    if not exists or mode == "replace" or (mode == "overwrite_partitions" and not partition_by):
-        _replace(df, table, exists, partition_by, sort_by, fmt)
+    # An existing table's own partitions count, whatever the caller remembers of them.
+    own = _partitions(spark, table) if exists and mode != "replace" else list(partition_by)
+    if partition_by and own != list(partition_by):
+        raise ValueError(f"{table} is partitioned by {own}, not by {list(partition_by)}")
+    if not exists or mode == "replace" or (mode == "overwrite_partitions" and not own):
+        _replace(df, table, exists, own, sort_by, fmt)
         return
     columns = spark.table(table).columns
     if set(columns) != set(df.columns):
         raise ValueError(f"{table} has columns {columns}, the new rows have {df.columns}")
-    rows = clustered(df.select(*columns), partition_by, sort_by)
+    rows = clustered(df.select(*columns), own, sort_by)
     if mode == "append":
         rows.write.insertInto(table)
         return

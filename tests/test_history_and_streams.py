@@ -95,3 +95,16 @@ def test_upsert_stream_and_repeated_batch(spark, tmp_path):
         (progress / "commits" / name).unlink(missing_ok=True)
     assert go() == want
     assert read_history(spark, path).count() == stored
+
+
+def test_json_array_files_as_a_stream(spark, tmp_path):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for day, text in (("d1", '[{"id": 1, "v": "a"}, {"id": 2, "v": null}]'), ("d2", '[{"id": 3, "v": "c"}]')):
+        folder = tmp_path / "raw" / day
+        folder.mkdir(parents=True)
+        (folder / "f.json").write_text(text)
+        ingest_incremental(
+            spark, f"{tmp_path}/raw/*", schema, lambda b: b, str(tmp_path / "out"),
+            str(tmp_path / "cp"), fmt="json",
+        )
+    assert rows(as_of(read_history(spark, str(tmp_path / "out")))) == [(1, "a"), (2, None), (3, "c")]

@@ -141,6 +141,11 @@ def test_publish_append_and_partitions(spark, namespace):
     for _ in range(2):
         publish(df, whole, "overwrite_partitions")
     assert spark.table(whole).count() == 3
+    # A forgotten partition list must not turn one partition into the whole table.
+    publish(df.where("a = '1'"), table, "overwrite_partitions")
+    assert spark.table(table).count() == 4
+    with pytest.raises(ValueError, match="partitioned by"):
+        publish(df, table, "append", partition_by=["b"])
     with pytest.raises(ValueError, match="columns"):
         publish(df.withColumn("c", F.lit(1)), table, "append", partition_by=["a"])
     with pytest.raises(ValueError, match="mode"):
