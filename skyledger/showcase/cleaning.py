@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import callsign, coded, day_path, first_word, iso_text, time_digits, titled
 from ..operators import CleanSpec, clean, standardize_all_strings
 from ..plans import specs
-from ..sources.files import with_base_name
+from ..sources import with_base_name
 from .registry import shown
 from .standins import cleaned_sql, initcap_sql, table, titled_sql, view, view_sql, with_sql
 

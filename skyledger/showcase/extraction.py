@@ -15,7 +15,10 @@ from ..sources import read_files, read_images
 from .registry import shown
 from .standins import table
 
-SPACE = "[\\x{9}-\\x{d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
+SPACE = (
+    "[\\x{9}-\\x{d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
+    "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
+)
 LINES_SQL = (
     "WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), "
     "tokens AS (SELECT doc_id, list_filter(string_split_regex(line, '" + SPACE + "'), lambda x: x <> '') "

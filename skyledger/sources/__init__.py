@@ -2,12 +2,12 @@
 
 from .files import (
     read_csv, read_day, read_files, read_images, read_json_array, read_json_lines, read_latest,
-    read_or_empty, union_files, with_file_name,
+    read_or_empty, union_files, with_base_name, with_file_name,
 )
 from .tables import read_jdbc, table_exists
 
 __all__ = [
     "read_csv", "read_day", "read_files", "read_images", "read_jdbc", "read_json_array",
     "read_json_lines", "read_latest", "read_or_empty", "table_exists", "union_files",
-    "with_file_name",
+    "with_base_name", "with_file_name",
 ]

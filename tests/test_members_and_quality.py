@@ -59,25 +59,36 @@ def test_added_members(spark):
         masterdata.add_members(full, candidates, "airlines", {"iata": 1}, "name", "t1").collect()
 
 
+def texts(spark, columns, *records):
+    return spark.createDataFrame(records, ", ".join(f"{c} string" for c in columns.split()))
+
+
 def test_master_updates(spark):
-    airlines = spark.createDataFrame([("1", "active", "ATL", "t0")], "id string, status string, hub string, updated_at string")
-    change = spark.createDataFrame([("1", "bankrupt", "FRA")], "id string, status string, hub string")
+    airlines = texts(spark, "id status hub updated_at", ("1", "active", "ATL", "t0"))
+    change = texts(spark, "id status hub", ("1", "bankrupt", "FRA"))
     assert rows(masterdata.update_airlines(airlines, change, "t1")) == [("1", "bankrupt", "FRA", "t1")]
-    airports = spark.createDataFrame([("1", "Berlin", "DE", "t0"), ("2", "Rome", "IT", "t0")], "id string, airport_name string, country_iso2 string, updated_at string")
-    change = spark.createDataFrame([("1", "FR")], "id string, country_iso2 string")
+
+    airports = texts(
+        spark, "id airport_name country_iso2 updated_at", ("1", "Berlin", "DE", "t0"), ("2", "Rome", "IT", "t0")
+    )
+    change = texts(spark, "id country_iso2", ("1", "FR"))
     assert rows(masterdata.update_airports(airports, change, "t1")) == [
         ("1", "Updated Berlin", "FR", "t1"), ("2", "Rome", "IT", "t0"),
     ]
-    countries = spark.createDataFrame([("1", "Paris", "5", "t0")], "id string, capital string, population string, updated_at string")
+
+    countries = texts(spark, "id capital population updated_at", ("1", "Paris", "5", "t0"))
     change = spark.createDataFrame([("1", 7)], "id string, population int")
     assert rows(masterdata.update_countries(countries, change, F.lit("t1"))) == [("1", "New Paris", "7", "t1")]
-    cities = spark.createDataFrame([("1", "UTC", "1.0", "2.0", "t0")], "id string, timezone string, latitude string, longitude string, updated_at string")
-    change = spark.createDataFrame([("1", "UTC+1", 1.23456789, -2.5)], "id string, timezone string, latitude double, longitude double")
+
+    cities = texts(spark, "id timezone latitude longitude updated_at", ("1", "UTC", "1.0", "2.0", "t0"))
+    change = spark.createDataFrame(
+        [("1", "UTC+1", 1.23456789, -2.5)], "id string, timezone string, latitude double, longitude double"
+    )
     assert rows(masterdata.update_cities(cities, change, "t1")) == [("1", "UTC+1", "1.234568", "-2.5", "t1")]
 
 
 def test_quality(spark):
-    df = spark.createDataFrame([("1", "x", "XX", "c", "EU", "5")], "id string, name string, iso2 string, capital string, continent string, population string")
+    df = texts(spark, "id name iso2 capital continent population", ("1", "x", "XX", "c", "EU", "5"))
     asked = [Expectation(c) for c in EXPECTED_COLUMNS["countries"]]
     report = validate(df, "countries", asked)
     assert report.where("success").count() == 5
