@@ -67,7 +67,11 @@ def files(df: DataFrame) -> DataFrame:
 
 
 def compact(
-    spark: SparkSession, path: str, new_path: str, commit_id: int, keys: str | Sequence[str]
+    spark: SparkSession, path: str, new_path: str, commit_id: int,
+    keys: str | Sequence[str] | None = None,
 ) -> None:
-    """Write the table as of ``commit_id`` to ``new_path`` as that one commit."""
+    """Write the table as of ``commit_id`` to ``new_path`` as that one commit.
+
+    Many small commits become few files; without ``keys`` every row stays.
+    """
     write_commit(as_of(read_history(spark, path), commit_id, keys), new_path, commit_id)

@@ -21,6 +21,8 @@ def test_history(spark, tmp_path):
     listed = files(spark.read.parquet(path))
     assert listed.agg(F.sum("n_rows")).first()[0] == 4
     assert listed.where("file_size > 0 and file_modification_time is not null").count() == listed.count()
+    compact(spark, path, str(tmp_path / "all"), 2)
+    assert snapshots(read_history(spark, str(tmp_path / "all"))).first()["n_rows"] == 4
     compact(spark, path, str(tmp_path / "small"), 2, "id")
     assert rows(as_of(read_history(spark, str(tmp_path / "small")), keys="id")) == [(1, "a"), (2, "B"), (3, "c")]
 

@@ -102,6 +102,14 @@ def test_image_tables(spark, tmp_path):
     assert spark.table("stored_images").where("image.height > 0").count() == 4
 
 
+def test_jpeg_of_the_daily_size(spark, tmp_path):
+    jvm = spark._jvm
+    picture = jvm.java.awt.image.BufferedImage(800, 400, 1)
+    assert jvm.javax.imageio.ImageIO.write(picture, "jpg", jvm.java.io.File(f"{tmp_path}/a.jpg"))
+    got = rows(image_metadata(read_images(spark, f"{tmp_path}/*.jpg")), "file_name", "height", "width", "mode")
+    assert got == [("a.jpg", 400, 800, "RGB")]
+
+
 def test_binary_files(spark, tmp_path):
     found = read_files(spark, pictures(tmp_path), "*.png")
     assert found.columns == ["path", "modificationTime", "length", "content"]
