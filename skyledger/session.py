@@ -37,12 +37,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     A temporary folder is used only where nothing is named and the session is
     local: executors on other machines could not read it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="skyledger-")
-        spark.sparkContext.setCheckpointDir(root)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root
 
 
