@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from ..session import work_dir
+from . import packing, quality_rules, simhash, token_shards
 from .base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,3 +26,20 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
     return quality_rules.judge(docs, rules)
+
+
+@query
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "shards")
+    token_shards.write(table(spark, sf_dir, "documents"), path)
+    return token_shards.read(spark, path)
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))

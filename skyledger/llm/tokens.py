@@ -20,7 +20,7 @@ UNIT = re.compile(
     f" ?[{_LATIN}]+(?![^{_GAP}{_MARKS}])|[{_MARKS}]+(?![^{_GAP}])| ?[^{_GAP}]+|[{_GAP}]+(?![^{_GAP}])|[{_GAP}]"
 )
 #: White space of Unicode that UNIT does not cut at.
-OTHER_WHITE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
+OTHER_WHITE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 #: Most units a worker keeps.
 KEPT_UNITS = 600_000
 
