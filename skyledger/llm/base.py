@@ -11,6 +11,7 @@ from ..session import work_dir
 
 #: Words are runs of anything but these; bytes.split() cuts at the same six.
 WHITE = " \t\n\x0b\x0c\r"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,10 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that lineage ends here."""
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and read it back, so that lineage ends here.
+
+    What the write shuffled is dropped as soon as it is done: nothing reads it again.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, label)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, stem: str) -> str:
