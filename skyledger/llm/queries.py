@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import line_dedup, packing, quality_rules, simhash, suffix_dedup, token_shards
+from . import line_dedup, packing, quality_rules, simhash, suffix_dedup, token_shards, topk
 from .base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, rules)
 
 
+@query
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+SQL["op2_topk"] = topk.SQL
+
+
 @query
 def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "shards")
