@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import line_dedup, packing, quality_rules, simhash, suffix_dedup, token_shards, topk
+from . import line_dedup, packing, quality_rules, rule_ensemble, simhash, suffix_dedup, token_shards, topk, toxicity
 from .base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,18 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op2_topk"] = topk.SQL
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rule_ensemble.score(docs, rule_ensemble.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "shards")

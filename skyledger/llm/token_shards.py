@@ -32,6 +32,8 @@ MAGIC = b"SKTS"
 _HEAD = struct.Struct("<4sBBIIqI")  # magic, version, id bytes, documents, null ids, first id, bytes of ids' sequence
 #: A shard is closed when it holds so many ids.
 SHARD_TOKENS = 1 << 24
+#: Up to so many shards their starts are broadcast; beyond, they are joined.
+MOST_BROADCAST = 100_000
 SHARDS = "part int, seq int, n_docs long, n_tokens long, shard binary"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _SHARDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("shard", pa.binary())])
@@ -133,4 +135,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 columns = [names, ends[:-1] + first, np.diff(ends), crcs]
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], schema=_READ)
 
+    if len(counts) <= MOST_BROADCAST:  # three numbers a shard
+        firsts = F.broadcast(firsts)
     return shards.join(firsts, ["part", "seq"]).select("first", "shard").mapInArrow(documents, READ)
