@@ -19,10 +19,12 @@ _LATIN, _MARKS, _GAP = "A-Za-zÀ-ÖØ-öø-ÿ", re.escape(".,!?;:$%&*#|<>"), " \
 UNIT = re.compile(
     f" ?[{_LATIN}]+(?![^{_GAP}{_MARKS}])|[{_MARKS}]+(?![^{_GAP}])| ?[^{_GAP}]+|[{_GAP}]+(?![^{_GAP}])|[{_GAP}]"
 )
+#: A blank beside other white space, or at the end.
+_GAPS = re.compile(f"[{_GAP}] | [{_GAP}]| $")
 #: White space of Unicode that UNIT does not cut at.
 OTHER_WHITE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
-#: Most units a worker keeps.
-KEPT_UNITS = 600_000
+#: Most units a worker keeps, and most pieces between blanks.
+KEPT_UNITS, KEPT_PIECES = 800_000, 250_000
 
 _encoders: dict[str, Encoder] = {}
 
@@ -42,7 +44,7 @@ def encoder(path: str | None = None) -> Encoder:
 
 
 class Encoder:
-    def __init__(self, path: str, kept_units: int = KEPT_UNITS) -> None:
+    def __init__(self, path: str, kept_units: int = KEPT_UNITS, kept_pieces: int = KEPT_PIECES) -> None:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -51,8 +53,9 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.kept_units = kept_units
+        self.known: dict[str, bytes] = {}  # pieces after a blank
+        self.units: dict[str, bytes] = {}
+        self.kept_units, self.kept_pieces = kept_units, kept_pieces
         line_end = self._encode(["\n"])[0]
         self.line_end = np.frombuffer(line_end, self.kind)[0]
 
@@ -80,6 +83,16 @@ class Encoder:
             return True
         return any(c in text for c in OTHER_WHITE[:6]) or any(s in text for s in self.special)
 
+    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Pieces that stand after a blank, through their units."""
+        cut = {p: UNIT.findall(f" {p}") for p in pieces}
+        own = {u: self.units.get(u) for units in cut.values() for u in units}
+        new = self._units([u for u, x in own.items() if x is None])
+        own |= new
+        if len(self.units) + len(new) <= self.kept_units:
+            self.units.update(new)
+        return {p: b"".join([own[u] for u in units]) for p, units in cut.items()}
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text as an array of ``kind``; null texts are empty."""
         known, out = self.known, []
@@ -89,15 +102,21 @@ class Encoder:
             elif self.whole(text):
                 out.append(self._encode([text])[0])
             else:
-                units = UNIT.findall(text)
+                head, *pieces = text.split(" ")
+                if not head or _GAPS.search(text):  # white space meets a blank: cut by units only
+                    units = UNIT.findall(text)
+                    own = {u: self.units.get(u) for u in units}
+                    own |= self._units([u for u, x in own.items() if x is None])
+                    out.append(b"".join([own[u] for u in units]))
+                    continue
+                first = b"".join(self._units([u]).get(u, b"") if u not in self.units else self.units[u] for u in UNIT.findall(head))
                 try:
-                    out.append(b"".join([known[u] for u in units]))
+                    out.append(first + b"".join([known[p] for p in pieces]))
                 except KeyError:
-                    new = list({u for u in units if u not in known})
-                    own = self._units(new)
-                    if len(known) + len(own) <= self.kept_units:
+                    own = self._pieces(list({p for p in pieces if p not in known}))
+                    if len(known) + len(own) <= self.kept_pieces:
                         known.update(own)
-                        out.append(b"".join([known[u] for u in units]))
+                        out.append(first + b"".join([known[p] for p in pieces]))
                     else:
-                        out.append(b"".join([known[u] if u in known else own[u] for u in units]))
+                        out.append(first + b"".join([known[p] if p in known else own[p] for p in pieces]))
         return [np.frombuffer(x, self.kind) for x in out]
