@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import line_dedup, packing, quality_rules, rule_ensemble, simhash, suffix_dedup, token_shards, topk, toxicity
+from . import line_dedup, packing, piece_lattice, quality_rules, rule_ensemble, simhash, suffix_dedup, token_shards, topk, toxicity
 from .base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op2_topk"] = topk.SQL
 
 
+@query
+def op3_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.encode(table(spark, sf_dir, "documents"), piece_lattice.load())
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -102,7 +102,9 @@ class Open:
         )])
         order = np.lexsort((ids[vi], -exact.astype(float), qi))
         qi, vi, exact = qi[order], vi[order], exact[order]
-        begins = np.flatnonzero(np.concatenate([[True], qi[1:] != qi[:-1]])) if len(qi) else []
+        if not len(qi):
+            return True
+        begins = np.flatnonzero(np.concatenate([[True], qi[1:] != qi[:-1]]))
         for a, b in zip(begins, [*begins[1:], len(qi)], strict=True):
             row = qi[a]
             new = sorted(zip((-exact[a:b]).tolist(), ids[vi[a:b]].tolist(), strict=True))[: self.k]

@@ -44,20 +44,26 @@ LOOKALIKES = str.maketrans(
     "авеікмнорстухѕјԁԛԝһӏαβεικνορτυχωɑɡıɩ",
     "abeikmhopctyxsjdqwhlabeikvoptuxwagii",
 )
-#: Digits and signs that stand for letters inside words.
-SIGNS = str.maketrans("0134578@$", "oieastbas")
-_SIGNED = re.compile(r"(?<=[a-z])[0134578@$]+(?=[a-z])|(?<![^\s])[0134578@$]+(?=[a-z]{2})")
+#: Digits and signs that stand for letters inside words. A one reads as i or
+#: l, so both are written i.
+SIGNS = str.maketrans("0134578@$!|", "oieastbasii")
+_SIGNED = re.compile(r"(?<=[a-z])[0134578@$!|]+(?=[a-z])|(?<![^\s])[01345789@$]+(?=[a-z]{2})")
+#: Marks that only change how a letter looks, and signs without width.
+_UNSEEN = re.compile("[\u0300-\u036f\u200b-\u200d\u2060\ufeff\u00ad]")
+_SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .*_-]){3,}[^\W\d_](?![^\W_])")
+_DRAWN = re.compile(r"([^\W\d_])\1{2,}")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def fold(text: str) -> list[str]:
-    """The words of a text as they read."""
+    """The words of a text as they read, without accents, drawn-out letters or gaps between letters."""
     text = text.lower()
     if not text.isascii():
-        if any(c > "˿" for c in text):
-            text = unicodedata.normalize("NFKC", text).lower().translate(LOOKALIKES)
+        text = _UNSEEN.sub("", unicodedata.normalize("NFKD", text)).lower().translate(LOOKALIKES)
     text = _SIGNED.sub(lambda m: m[0].translate(SIGNS), text)
-    return _WORD.findall(text)
+    text = _SPACED.sub(lambda m: re.sub(r"[ .*_-]", "", m[0]), text)
+    text = _DRAWN.sub(r"\1", text)
+    return _WORD.findall(text.replace("l", "i"))
 
 
 def _forms(word: str) -> list[str]:

@@ -1,0 +1,108 @@
+"""Slow versions of the operators over plain Python rows."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import xxhash
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+class Sets:
+    def __init__(self):
+        self.up = {}
+
+    def find(self, x):
+        self.up.setdefault(x, x)
+        while self.up[x] != x:
+            x = self.up[x]
+        return x
+
+    def join(self, x, y):
+        x, y = self.find(x), self.find(y)
+        self.up[max(x, y)] = min(x, y)
+
+
+def counts(text):
+    text = text or ""
+    words = WORDS.findall(text)
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = set()
+    for i in range(len(words) - 2):
+        if windows[tuple(words[i : i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        dup += bool(WORDS.search(line)) and line in seen
+        seen.add(line)
+    return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), dup, len(covered))
+
+
+def top(rows, is_query, k=5):
+    """rows: (id, integer vector); (query, rank, id, score) with equal scores by id."""
+    out = []
+    for q, x in rows:
+        if is_query(q):
+            scored = sorted((-sum(a * b for a, b in zip(x, y, strict=False)), v) for v, y in rows if v != q)
+            out += [(q, r, v, -s) for r, (s, v) in enumerate(scored[:k], 1)]
+    return sorted(out)
+
+
+def print_of(text):
+    words = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def simhash_components(docs, radius=2):
+    prints = {i: print_of(t) for i, t in docs}
+    sets, ids = Sets(), sorted(prints)
+    for k, a in enumerate(ids):
+        sets.find(a)
+        for b in ids[:k]:
+            if (prints[a] ^ prints[b]).bit_count() <= radius:
+                sets.join(a, b)
+    return {i: (f"{prints[i]:016x}", sets.find(i)) for i in ids}
+
+
+def repeated_bytes(docs, length=100):
+    """Per document (bytes, removed, spans, sha256 of the rest), and the rest."""
+    seen, out, kept = set(), {}, {}
+    for i, text in docs:
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for s in range(len(raw) - length + 1):
+            window = raw[s : s + length]
+            if window in seen:
+                gone[s : s + length] = b"\1" * length
+            seen.add(window)
+        kept[i] = bytes(x for x, g in zip(raw, gone, strict=True) if not g)
+        spans = sum(1 for k in range(len(raw)) if gone[k] and (k == 0 or not gone[k - 1]))
+        out[i] = (len(raw), sum(gone), spans, hashlib.sha256(kept[i]).hexdigest())
+    return out, kept
+
+
+def removed_lines(docs, width=8, similarity=0.8):
+    """Numbers of the lines each document loses; every pair of lines that share a shingle is compared."""
+    lines = [(i, k, line) for i, t in docs for k, line in enumerate((t or "").split("\n")) if WORDS.search(line)]
+    distinct = sorted({line for _, _, line in lines})
+    shingles = [{x[i : i + width] for i in range(max(1, len(x) - width + 1))} for x in distinct]
+    holders, sets = defaultdict(list), Sets()
+    for k, own in enumerate(shingles):
+        common = Counter(j for s in own for j in holders[s])
+        for j, n in common.items():
+            if n >= similarity * (len(own) + len(shingles[j]) - n):
+                sets.join(k, j)
+        for s in own:
+            holders[s].append(k)
+    number, seen, gone = {x: k for k, x in enumerate(distinct)}, set(), defaultdict(list)
+    for i, k, line in lines:
+        c = sets.find(number[line])
+        if c in seen:
+            gone[i].append(k)
+        seen.add(c)
+    return {i: gone.get(i, []) for i, _ in docs}
