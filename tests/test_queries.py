@@ -16,7 +16,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, con, name):
     assert difference(QUERIES[name](spark, SF_DIR), con, SQL[name]) is None
 
