@@ -19,12 +19,14 @@ _LATIN, _MARKS, _GAP = "A-Za-zÀ-ÖØ-öø-ÿ", re.escape(".,!?;:$%&*#|<>"), " \
 UNIT = re.compile(
     f" ?[{_LATIN}]+(?![^{_GAP}{_MARKS}])|[{_MARKS}]+(?![^{_GAP}])| ?[^{_GAP}]+|[{_GAP}]+(?![^{_GAP}])|[{_GAP}]"
 )
+#: Units that are one run of letters, which the model can take as they are.
+_PLAIN = re.compile(f" ?[{_LATIN}]+")
 #: A blank beside other white space, or at the end.
 _GAPS = re.compile(f"[{_GAP}] | [{_GAP}]| $")
 #: White space of Unicode that UNIT does not cut at.
 OTHER_WHITE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 #: Most units a worker keeps, and most pieces between blanks.
-KEPT_UNITS, KEPT_PIECES = 800_000, 250_000
+KEPT_UNITS, KEPT_PIECES = 800_000, 300_000
 
 _encoders: dict[str, Encoder] = {}
 
@@ -48,9 +50,16 @@ class Encoder:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.library.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # A byte-level model writes visible bytes as themselves and the others from 256 on.
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in own]
+        self.letters = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
+        self.letters[10] = f" {self.letters[10]} "
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}  # pieces after a blank
@@ -64,15 +73,26 @@ class Encoder:
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
     def _units(self, units: list[str]) -> dict[str, bytes]:
-        """Encode units in one text, a line end after each; those with line ends one by one."""
-        plain = [u for u in units if u.strip(" \n\t\r")]
+        """Encode units in one text, a line end after each; those with line ends one by one.
+
+        Single words skip the library's search for runs: the model gets their
+        bytes in its own letters, set apart by blanks.
+        """
         rest = [u for u in units if not u.strip(" \n\t\r")]
         found = dict(zip(rest, self._encode(rest), strict=True))
-        if plain:
-            ids = np.frombuffer(self._encode(["\n".join(plain)])[0], self.kind)
+        for plain in (True, False):
+            some = [u for u in units if bool(_PLAIN.fullmatch(u)) == plain and u.strip(" \n\t\r")]
+            if not some:
+                continue
+            text = "\n".join(some)
+            if plain:
+                text = text.encode().decode("latin-1").translate(self.letters)
+                ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+            else:
+                ids = np.frombuffer(self._encode([text])[0], self.kind)
             ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)) * self.kind.itemsize
             raw, start = ids.tobytes(), 0
-            for unit, end in zip(plain, ends.tolist(), strict=True):
+            for unit, end in zip(some, ends.tolist(), strict=True):
                 found[unit] = raw[start:end]
                 start = end + self.kind.itemsize
         return found
