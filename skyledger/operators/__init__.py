@@ -5,14 +5,16 @@ from .enriching import attach_facts, enrich
 from .history import as_of, compact, files, read_history, snapshots, write_commit
 from .images import extract_text, image_metadata
 from .members import assign_ids, available_codes, code_pool, new_members
-from .merging import apply_updates, changed_rows, dedupe_latest, merge_upsert
+from .merging import (
+    FOLD_ORDER, apply_updates, changed_rows, dedupe_latest, fold_latest, folded_changes, merge_upsert,
+)
 from .quality import Expectation, QualityError, failures, passed, validate
 from .texttable import flight_table_json, parse_flight_table
 
 __all__ = [
-    "CleanSpec", "Expectation", "QualityError", "apply_updates", "as_of", "assign_ids",
+    "FOLD_ORDER", "CleanSpec", "Expectation", "QualityError", "apply_updates", "as_of", "assign_ids",
     "attach_facts", "available_codes", "changed_rows", "clean", "clean_rows", "code_pool",
-    "compact", "dedupe_latest", "enrich", "extract_text", "failures", "files",
+    "compact", "dedupe_latest", "enrich", "extract_text", "failures", "files", "fold_latest", "folded_changes",
     "flight_table_json", "image_metadata", "merge_upsert", "new_members", "parse_flight_table",
     "passed", "read_history", "snapshots", "standardize_all_strings", "validate", "write_commit",
 ]

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from ..session import looks_small
 
@@ -117,6 +117,9 @@ def changed_rows(current: DataFrame, source: DataFrame, keys: str | Sequence[str
     moved nor written again. ``source`` has one row per key, nulls aside.
     """
     keys = _names(keys)
+    unknown = [c for c in source.columns if c not in current.columns]
+    if unknown:
+        raise ValueError(f"the current table has no columns {unknown}")
     values = [c for c in current.columns if c not in keys and c in source.columns]
     found = _keyed_like(current, source, keys).withColumn("__known", F.lit(True))
     pairs = source.alias("s").join(found.alias("t"), _same(keys), "left")
@@ -130,13 +133,89 @@ def changed_rows(current: DataFrame, source: DataFrame, keys: str | Sequence[str
     return pairs.where(differs).select(*out)
 
 
+def _order(order_by: OrderBy) -> Column:
+    """The order of a row as one value."""
+    parts = [order_by] if isinstance(order_by, str | Column) else list(order_by)
+    columns = [F.col(f"`{o}`") if isinstance(o, str) else o for o in parts]
+    return F.struct(*[c.alias(f"o{k}") for k, c in enumerate(columns)])
+
+
+#: Holds, for each folded column, the order of the value that counts.
+FOLD_ORDER = "fold_order"
+
+
+def fold_latest(df: DataFrame, keys: str | Sequence[str], order_by: OrderBy) -> DataFrame:
+    """One row per key: per column the last value by ``order_by`` that is not null.
+
+    Of values of equal order the greatest counts. ``fold_order`` tells the order
+    of each value, so folds of parts can be folded again and give the fold of the
+    whole. Rows with a null key stand for no key and all stay.
+    """
+    keys = _names(keys)
+    values = [c for c in df.columns if c not in keys]
+    ordered = df.withColumn("__order", _order(order_by))
+    pairs = {c: F.struct(F.col("__order").alias("o"), F.col(f"`{c}`").alias("v")) for c in values}
+    pairs = {c: F.when(F.col(f"`{c}`").isNotNull(), p) for c, p in pairs.items()}
+    rows = ordered.select(*keys, *[p.alias(f"__{c}") for c, p in pairs.items()])
+    keyless = _any_null(keys)
+    once = rows.where(~keyless).groupBy(*keys).agg(*[F.max(f"__{c}").alias(f"__{c}") for c in values])
+    return _unfolded(once.unionByName(rows.where(keyless)), keys, values, df.columns)
+
+
+def _unfolded(pairs: DataFrame, keys: Sequence[str], values: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    order = F.struct(*[F.col(f"__{c}.o").alias(c) for c in values]).alias(FOLD_ORDER)
+    shown = {c: F.col(f"__{c}.v").alias(c) for c in values}
+    return pairs.select(*[shown.get(c, F.col(f"`{c}`")) for c in columns], order)
+
+
+def folded_changes(earlier: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """Rows of a fold that are new or differ once ``source`` is folded into ``earlier``.
+
+    ``earlier`` may hold several folds of a key, one per commit: each column's
+    greatest order counts. Only keys of ``source`` are looked up.
+    """
+    keys = _names(keys)
+    columns = [c for c in source.columns if c != FOLD_ORDER]
+    values = [c for c in columns if c not in keys]
+
+    def paired(df: DataFrame) -> DataFrame:
+        def pair(c: str) -> Column:
+            both = F.struct(F.col(f"{FOLD_ORDER}.`{c}`").alias("o"), F.col(f"`{c}`").alias("v"))
+            return F.when(F.col(f"`{c}`").isNotNull(), both).alias(f"__{c}")
+
+        return df.select(*keys, *[pair(c) for c in values])
+
+    if FOLD_ORDER not in earlier.columns:
+        return source
+    new = paired(source)
+    old = _keyed_like(paired(earlier).where(~_any_null(keys)), source, keys)
+    old = old.groupBy(*keys).agg(*[F.max(f"__{c}").alias(f"__{c}") for c in values], F.lit(True).alias("__known"))
+    both = new.alias("s").join(old.alias("t"), _same(keys), "left")
+    merged = {c: F.greatest(_of("s", f"__{c}"), _of("t", f"__{c}")) for c in values}
+    differs = reduce(
+        lambda a, b: a | b, [~merged[c].eqNullSafe(_of("t", f"__{c}")) for c in values],
+        F.col("__known").isNull(),
+    )
+    changed = both.where(differs).select(*[_of("s", k).alias(k) for k in keys], *[m.alias(f"__{c}") for c, m in merged.items()])
+    return _unfolded(changed, keys, values, columns)
+
+
+def _orderable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, MapType | VariantType)
+
+
 def _latest(df: DataFrame, keys: Sequence[str], order_by: OrderBy) -> DataFrame:
     order = [order_by] if isinstance(order_by, str | Column) else list(order_by)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
+    # What has no order, such as a map, breaks ties by its JSON text.
     rest = [
-        F.col(f.name)
+        F.col(f"`{f.name}`") if _orderable(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`")))
         for f in df.schema.fields
-        if f.name not in keys and not isinstance(f.dataType, MapType | VariantType)
+        if f.name not in keys
     ]
     by_rank = W.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in [*order, *rest]])
     ranked = df.withColumn("__rank", F.row_number().over(by_rank))
@@ -183,6 +262,10 @@ def apply_updates(
     otherwise they make the query fail.
     """
     derive = dict(derive or {})
+    ordered = {o for o in ([order_by] if isinstance(order_by, str) else order_by or ()) if isinstance(o, str)} if not isinstance(order_by, Column) else set()
+    unknown = [c for c in updates.columns if c not in df.columns and c not in ordered]
+    if unknown:
+        raise ValueError(f"no columns {unknown} to update")
     sets = [c for c in updates.columns if c != key and c in df.columns]
     asked = updates.where(F.col(key).isNotNull())
     if order_by is not None:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, dedupe_latest, merge_upsert
-from ..sinks import publish
+from ..sinks import publish, recover
 from ..sources import read_csv, read_day, read_json_array, table_exists
 from .specs import DAILY_FOLDER, DATASETS, Dataset
 
@@ -53,6 +53,7 @@ def load_dimension(
     dataset = DATASETS[name]
     table = layers.silver_table(name)
     rows = clean(read_raw(spark, layers, dataset), dataset.spec)
+    recover(spark, table)
     if table_exists(spark, table):
         rows = merge_upsert(spark.table(table), rows, "id", columns, latest_by=latest_by)
     elif latest_by:
@@ -61,15 +62,15 @@ def load_dimension(
 
 
 def load_fact(spark: SparkSession, layers: Layers, name: str, run_date: date) -> None:
-    """Clean one day of a fact and put it in place of that day's rows.
+    """Clean one day of a fact and put it in place of all that day's rows.
 
-    Tables are partitioned by the day first, so running a day again leaves the
-    table as it was.
+    Tables are partitioned by the day first. A corrected day takes the place of
+    the old one, whatever its other partition values; an empty day empties it.
     """
     dataset = DATASETS[name]
     rows = clean(read_raw(spark, layers, dataset, run_date), dataset.spec)
-    rows = rows.withColumn("ingest_date", F.lit(f"{run_date:%Y-%m-%d}"))
+    day = f"{run_date:%Y-%m-%d}"
     publish(
-        rows, layers.silver_table(name), mode="overwrite_partitions",
-        partition_by=("ingest_date", *dataset.partition_by),
+        rows.withColumn("ingest_date", F.lit(day)), layers.silver_table(name), mode="replace_slice",
+        partition_by=("ingest_date", *dataset.partition_by), within={"ingest_date": day},
     )

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import CleanSpec, as_of, clean, read_history
+from ..operators import FOLD_ORDER, CleanSpec, as_of, clean, read_history
 from ..session import work_dir
 from ..sinks import export_json, land
 from ..streaming import incremental_upsert, ingest_incremental
-from .merging import CHANGES, LATEST_CHANGES
+from .merging import CHANGES
 from .registry import shown
 from .standins import table, view
 
@@ -43,24 +43,64 @@ def ingest_days_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of(read_history(spark, out))
 
 
-@shown(
-    f"{CHANGES}, latest AS ({LATEST_CHANGES}) "
-    "SELECT coalesce(s.id, t.id) AS id, coalesce(s.name, t.name) AS name, "
-    "coalesce(s.iata, t.iata) AS iata, coalesce(s.status, t.status) AS status "
-    "FROM airlines t FULL OUTER JOIN latest s ON s.id = t.id"
+FOLDED = (
+    f"{CHANGES}, fed AS (SELECT id, name, iata, status, CAST(0 AS BIGINT) AS seq FROM airlines "
+    "UNION ALL SELECT id, name, iata, status, seq FROM changes), folded AS (SELECT id, "
+    "max_by(name, seq) FILTER (WHERE name IS NOT NULL) AS name, "
+    "max_by(iata, seq) FILTER (WHERE iata IS NOT NULL) AS iata, "
+    "max_by(status, seq) FILTER (WHERE status IS NOT NULL) AS status FROM fed WHERE id IS NOT NULL GROUP BY id "
+    "UNION ALL SELECT id, name, iata, status FROM fed WHERE id IS NULL)"
 )
-def upsert_days_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dimension kept as history: first all airlines, then their changes, then nothing new."""
+
+
+def _upserted(spark: SparkSession, sf_dir: str, files_per_batch: int | None) -> DataFrame:
+    """A dimension kept as history from files that come late, repeat keys, hold nulls and lack ids."""
     feed, history, checkpoint = (work_dir(spark, part) for part in ("feed", "dim", "progress"))
     airlines = view(spark, sf_dir, "airlines").selectExpr(
         "id", "name", "iata", "status", "CAST(0 AS BIGINT) AS seq"
     )
-    changes = view(spark, sf_dir, "airline_changes").where(F.col("id").isNotNull())
-    for number, rows in enumerate((airlines, changes, None)):
+    changes = view(spark, sf_dir, "airline_changes")
+    # The newest changes land first, the master last; the last run brings nothing new.
+    parts = [changes.where(f"pmod(seq, 3) = {k}") for k in (2, 0, 1)]
+    for number, rows in enumerate((*parts, airlines, None)):
         if rows is not None:
-            export_json(rows, f"{feed}/run={number}")
-        incremental_upsert(
-            spark, f"{feed}/*", airlines.schema, lambda batch: batch, "id", history, checkpoint,
-            order_by="seq", fmt="jsonl",
-        )
-    return as_of(read_history(spark, history), keys="id").drop("seq")
+            export_json(rows.coalesce(2), f"{feed}/run={number}")
+        if number in (1, 3, 4):
+            incremental_upsert(
+                spark, f"{feed}/*", airlines.schema, lambda batch: batch, "id", history, checkpoint,
+                order_by="seq", fmt="jsonl", files_per_batch=files_per_batch,
+            )
+    return as_of(read_history(spark, history), keys="id").drop("seq", FOLD_ORDER)
+
+
+@shown(f"{FOLDED} SELECT * FROM folded")
+def upsert_days_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upserted(spark, sf_dir, None)
+
+
+@shown(
+    f"{FOLDED} SELECT CAST(cut AS BIGINT) AS cut, folded.* FROM folded, (VALUES (1), (3)) AS cuts(cut)"
+)
+def upsert_in_small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed in batches of one and of three files."""
+    one, three = (
+        _upserted(spark, sf_dir, cut).withColumn("cut", F.lit(cut).cast("long")) for cut in (1, 3)
+    )
+    return one.union(three)
+
+
+@shown("SELECT event_id, user_id, upper(event_type) AS event_type FROM events")
+def ingest_in_small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row in two files, one file to a batch; a row is added once."""
+    root, out, checkpoint = (work_dir(spark, part) for part in ("raw", "ingested", "progress"))
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    for number in range(2):
+        export_json(events.coalesce(2), f"{root}/run={number}")
+
+    def tidy(batch: DataFrame) -> DataFrame:
+        return clean(batch, CleanSpec(upper=("event_type",)))
+
+    ingest_incremental(
+        spark, f"{root}/*", events.schema, tidy, out, checkpoint, fmt="jsonl", files_per_batch=1
+    )
+    return as_of(read_history(spark, out))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import pin
 from ..sources.tables import table_exists
 
 
@@ -31,9 +35,29 @@ def clustered(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]
     return df.sortWithinPartitions(*order) if order else df
 
 
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish or undo a replacement that was stopped between its renames.
+
+    The old table only goes once the new one has its name, so one of them is whole.
+    """
+    if _has_own_catalog(table):
+        return
+    old = f"{table}__old"
+    if table_exists(spark, old):
+        if table_exists(spark, table):
+            spark.sql(f"DROP TABLE {old}")
+        else:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+
+
+def _has_own_catalog(table: str) -> bool:
+    return table.count(".") > 1 and not table.startswith("spark_catalog.")
+
+
 def publish(
     df: DataFrame, table: str, mode: str = "replace",
     partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), fmt: str = "parquet",
+    within: Mapping[str, str] | None = None,
 ) -> None:
     """Write ``df`` to ``table``.
 
@@ -42,16 +66,22 @@ def publish(
     ``append``: add the rows, creating the table when absent.
     ``overwrite_partitions``: replace only the partitions that occur in ``df``
     (the whole table when it has no partitions), so a rerun changes nothing.
+    ``replace_slice``: replace all partitions with the values ``within`` gives,
+    also those that no longer occur; without rows the slice is emptied. The rows
+    are computed and stored first, so a failing query changes nothing.
 
     A table of a catalog of its own (``catalog.namespace.table``) is written
     through that catalog's atomic operations; ``fmt`` is for the built-in one.
     """
     spark = df.sparkSession
-    if mode not in ("replace", "append", "overwrite_partitions"):
+    if mode not in ("replace", "append", "overwrite_partitions", "replace_slice"):
         raise ValueError(f"unknown mode {mode!r}")
+    if (mode == "replace_slice") != bool(within):
+        raise ValueError("within goes with replace_slice")
+    recover(spark, table)
     exists = table_exists(spark, table)
-    if table.count(".") > 1 and not table.startswith("spark_catalog."):
-        _publish_to_catalog(df, table, mode, exists, partition_by, sort_by)
+    if _has_own_catalog(table):
+        _publish_to_catalog(df, table, mode, exists, partition_by, sort_by, within or {})
         return
     # An existing table's own partitions count, whatever the caller remembers of them.
     own = _partitions(spark, table) if exists and mode != "replace" else list(partition_by)
@@ -63,22 +93,45 @@ def publish(
     columns = spark.table(table).columns
     if set(columns) != set(df.columns):
         raise ValueError(f"{table} has columns {columns}, the new rows have {df.columns}")
+    if mode == "replace_slice":
+        _replace_slice(clustered(pin(df.select(*columns)), own, sort_by), table, own, within)
+        return
     rows = clustered(df.select(*columns), own, sort_by)
     if mode == "append":
         rows.write.insertInto(table)
         return
+    with _overwriting(spark, "dynamic"):
+        rows.write.insertInto(table, overwrite=True)
+
+
+@contextmanager
+def _overwriting(spark: SparkSession, how: str) -> Iterator[None]:
+    """Inserts take this from the session only; writes of other threads see it meanwhile."""
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    spark.conf.set(key, how)
     try:
-        rows.write.insertInto(table, overwrite=True)
+        yield
     finally:
         spark.conf.set(key, before)
 
 
+def _replace_slice(rows: DataFrame, table: str, own: Sequence[str], within: Mapping[str, str]) -> None:
+    if list(within) != own[: len(within)]:
+        raise ValueError(f"{table} is partitioned by {own}, not first by {list(within)}")
+    spark, name = rows.sparkSession, f"slice_{uuid.uuid4().hex}"
+    spec = ", ".join([*(f"`{c}` = '{v}'" for c, v in within.items()), *(f"`{c}`" for c in own[len(within) :])])
+    rows.drop(*within).createOrReplaceTempView(name)
+    try:
+        with _overwriting(spark, "static"):
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {name}")
+    finally:
+        spark.catalog.dropTempView(name)
+
+
 def _publish_to_catalog(
     df: DataFrame, table: str, mode: str, exists: bool, partition_by: Sequence[str],
-    sort_by: Sequence[str],
+    sort_by: Sequence[str], within: Mapping[str, str],
 ) -> None:
     writer = clustered(df, partition_by, sort_by).writeTo(table)
     if mode == "replace" or not exists:
@@ -87,6 +140,8 @@ def _publish_to_catalog(
         writer.createOrReplace()
     elif mode == "append":
         writer.append()
+    elif mode == "replace_slice":
+        writer.overwrite(reduce(lambda a, b: a & b, [F.col(c) == v for c, v in within.items()]))
     else:
         writer.overwritePartitions()
 
@@ -103,8 +158,7 @@ def _replace(
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(built)
     if exists:
-        old = f"{table}__old"
-        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        old = f"{table}__old"  # gone by now: recover() came first
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
         spark.sql(f"ALTER TABLE {built} RENAME TO {table}")
         spark.sql(f"DROP TABLE {old}")

@@ -9,19 +9,20 @@ one output folder.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.history import as_of, read_history, write_commit
-from ..operators.merging import changed_rows, dedupe_latest
+from ..operators.history import COMMIT_COLUMNS, read_history, write_commit
+from ..operators.merging import fold_latest, folded_changes
 from ..sources import read_or_empty
 
 Transform = Callable[[DataFrame], DataFrame]
 
 FILE_OPTIONS = {
-    "csv": ("csv", {"header": True, "enforceSchema": False}),
+    "csv": ("csv", {"header": True, "enforceSchema": False, "multiLine": True, "escape": '"'}),
     "json": ("json", {"multiLine": True}),
     "jsonl": ("json", {}),
     "parquet": ("parquet", {}),
@@ -46,19 +47,40 @@ def _run_once(
     query.awaitTermination()
 
 
+def _before(like: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """What earlier batches wrote; a repeated batch must not see what it wrote the first time."""
+    spark = like.sparkSession
+    earlier = read_or_empty(spark, lambda: read_history(spark, path), like.schema)
+    if "commit_id" not in earlier.columns:
+        return earlier
+    order = F.col("commit_id")
+    return earlier.where(order < batch_id).select(*like.columns, *COMMIT_COLUMNS)
+
+
+def _not_in(rows: DataFrame, earlier: DataFrame) -> DataFrame:
+    same = [F.col(f"s.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in rows.columns]
+    return rows.alias("s").join(earlier.alias("t"), reduce(lambda a, b: a & b, same), "left_anti")
+
+
 def ingest_incremental(
     spark: SparkSession, src_glob: str, schema: StructType, transform: Transform, out: str,
-    checkpoint: str, fmt: str = "csv", files_per_batch: int | None = None,
+    checkpoint: str, fmt: str = "csv", files_per_batch: int | None = None, distinct: bool = True,
 ) -> None:
     """Append the cleaned rows of files not seen before to the history at ``out``.
 
-    ``transform`` gets a plain batch frame, so it may drop duplicates; it does
-    so within a batch. ``files_per_batch`` bounds the work of one batch when a
-    long backlog is waiting.
+    ``transform`` must give each row by itself the same result in any batch;
+    dropping equal rows is done here: a row equal to one of its batch or of an
+    earlier commit is not added. So the rows do not depend on how files fall
+    into batches, and ``files_per_batch`` only bounds the work of one when a
+    long backlog is waiting. ``distinct=False`` adds every row and is for a
+    ``transform`` that drops none.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_commit(transform(batch), out, batch_id)
+        rows = transform(batch)
+        if distinct:
+            rows = _not_in(rows.distinct(), _before(rows, out, batch_id))
+        write_commit(rows, out, batch_id)
 
     _run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle)
 
@@ -71,27 +93,20 @@ def incremental_upsert(
 ) -> None:
     """Merge the rows of new files into a dimension kept as history.
 
-    A batch brings one row per key (the latest by ``order_by``), looks up only
-    those keys among earlier commits, and writes only new or changed rows. Read
-    the table with ``as_of(read_history(...), keys=keys)``.
+    Per key and column the last value by ``order_by`` that is not null counts,
+    over all files there ever were: the history also stores the order of each
+    value, so a late file does not overwrite a newer value and the result does
+    not depend on how files fall into batches. Of values of equal order the
+    greatest counts. Rows without a key stand for no key and all stay. A batch
+    looks up only its own keys among earlier commits and writes only new or
+    changed rows. Read the table with
+    ``as_of(read_history(...), keys=keys).drop(FOLD_ORDER)``.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        source = dedupe_latest(transform(batch), names, order_by).persist()
-        stored = batch.sparkSession
-        earlier = read_or_empty(
-            stored, lambda: read_history(stored, history_path), source.schema
-        )
-        if "commit_id" in earlier.columns:
-            # A repeated batch must not see what it wrote the first time.
-            earlier = earlier.where(F.col("commit_id") < batch_id)
-            asked = earlier.join(source.select(*names).distinct(), names, "left_semi")
-            write_commit(
-                changed_rows(as_of(asked, keys=names), source, names), history_path, batch_id
-            )
-        else:
-            write_commit(source, history_path, batch_id)
-        source.unpersist()
+        source = fold_latest(transform(batch), names, order_by)
+        earlier = _before(source, history_path, batch_id)
+        write_commit(folded_changes(earlier, source, names), history_path, batch_id)
 
     _run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle)

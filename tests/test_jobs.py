@@ -14,7 +14,7 @@ from skyledger.plans import gold, masterdata
 from skyledger.plans.images import load_images
 from skyledger.plans.run import run
 from skyledger.plans.serving import load_raw, table_from_csv
-from skyledger.plans.silver import Layers, load_dimension
+from skyledger.plans.silver import Layers, load_dimension, load_fact
 from skyledger.sinks import ensure_namespace
 from skyledger.sources import read_jdbc
 
@@ -181,3 +181,51 @@ def test_raw_files_to_a_database_and_a_table(spark, tmp_path, layers):
     ensure_namespace(spark, layers.silver)
     table_from_csv(spark, f"{day}/csv/weather_data/*.csv", f"{layers.silver}.raw_weather")
     assert spark.table(f"{layers.silver}.raw_weather").count() == 3
+
+
+def test_a_corrected_day_takes_the_place_of_the_old_one(spark, tmp_path, layers):
+    root = tmp_path / "raw"
+    flights = lambda: rows(spark.table(layers.silver_table("flights")), "flight_id", "status", "ingest_date")
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {layers.silver}")
+
+    def land_flights(day, *pairs):
+        put_json(root / f"{day:%Y/%m/%d}/json/flight_data/flights.json", schemas.FLIGHTS,
+                 [{"flight_id": i, "status": s} for i, s in pairs])
+        load_fact(spark, layers, "flights", day)
+
+    land_flights(NEXT, ("9", "LANDED"))
+    land_flights(DAY, ("1", "SCHEDULED"), ("2", "CANCELLED"))
+    land_flights(DAY, ("1", "LANDED"))
+    other = ("9", "LANDED", f"{NEXT:%Y-%m-%d}")
+    assert flights() == [("1", "LANDED", f"{DAY:%Y-%m-%d}"), other]
+    land_flights(DAY)
+    assert flights() == [other]
+
+
+@pytest.mark.parametrize("stop", range(6))
+def test_a_stop_anywhere_in_a_replacement_loses_nothing(spark, tmp_path, layers, monkeypatch, stop):
+    root, table = tmp_path / "raw", layers.silver_table("countries")
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {layers.silver}")
+    path = root / "master/countries_data.csv"
+    put_csv(path, schemas.COUNTRIES, [{"id": "1", "name": "germany", "iso2": "de"}, {"id": "2", "name": "france", "iso2": "fr"}])
+    load_dimension(spark, layers, "countries")
+    put_csv(path, schemas.COUNTRIES, [{"id": "3", "name": "spain", "iso2": "es"}])
+    said, real = [], type(spark).sql
+
+    def stopped(self, text, *args, **kwargs):
+        if "__next" in text or "__old" in text:
+            said.append(text)
+            if len(said) > stop:
+                raise RuntimeError("stopped")
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", stopped)
+    try:
+        load_dimension(spark, layers, "countries")
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    load_dimension(spark, layers, "countries")
+    assert rows(spark.table(table), "id") == [("1",), ("2",), ("3",)]
+    load_dimension(spark, layers, "countries")
+    assert spark.table(table).count() == 3
