@@ -21,12 +21,12 @@ UNIT = re.compile(
 )
 #: Units that are one run of letters, which the model can take as they are.
 _PLAIN = re.compile(f" ?[{_LATIN}]+")
-#: A blank beside other white space, or at the end.
-_GAPS = re.compile(f"[{_GAP}] | [{_GAP}]| $")
+#: A blank beside other white space.
+_GAPS = tuple({f" {c}" for c in _GAP} | {f"{c} " for c in _GAP})
 #: White space of Unicode that UNIT does not cut at.
 OTHER_WHITE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 #: Most units a worker keeps, and most pieces between blanks.
-KEPT_UNITS, KEPT_PIECES = 800_000, 300_000
+KEPT_UNITS, KEPT_PIECES = 800_000, 700_000
 
 _encoders: dict[str, Encoder] = {}
 
@@ -123,7 +123,7 @@ class Encoder:
                 out.append(self._encode([text])[0])
             else:
                 head, *pieces = text.split(" ")
-                if not head or _GAPS.search(text):  # white space meets a blank: cut by units only
+                if not head or not pieces or not pieces[-1] or any(g in text for g in _GAPS):  # cut by units only
                     units = UNIT.findall(text)
                     own = {u: self.units.get(u) for u in units}
                     own |= self._units([u for u, x in own.items() if x is None])

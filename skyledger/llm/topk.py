@@ -36,6 +36,8 @@ BLOCK_ROWS, QUERY_BLOCK = 1024, 4096
 SEED_BLOCKS = 2
 #: Share of the coordinates after which pairs are looked at again.
 STEPS = (0.125, 0.25, 0.5)
+#: Pairs are looked up one by one once at most this share of them is left.
+FEW = 0.02
 RESULT = "query_id long, vec_id long, score long"
 
 
@@ -81,20 +83,11 @@ class Open:
         q = np.flatnonzero(self.norms * norms.max(initial=0) >= bar)
         if not len(q):
             return False
-        if self.cuts:
-            c = self.cuts[0]
-            part = self.rotated[q, :c] @ rotated[:, :c].T
-            bound = part + self.rest[0][q, None] * np.linalg.norm(rotated[:, c:], axis=1)[None, :]
-            qi, vi = np.nonzero(bound >= bar[q, None])
-            part = part[qi, vi]
-            qi = q[qi]
-            for n, (a, c) in enumerate(zip(self.cuts, self.cuts[1:], strict=False), 1):
-                part += np.einsum("ij,ij->i", self.rotated[qi, a:c], rotated[vi, a:c])
-                rest = np.linalg.norm(rotated[:, c:], axis=1)
-                keep = part + self.rest[n][qi] * rest[vi] >= bar[qi]
-                qi, vi, part = qi[keep], vi[keep], part[keep]
-        else:
-            qi, vi = (x.reshape(-1) for x in np.meshgrid(q, np.arange(len(ids)), indexing="ij"))
+        qi, vi = self._survivors(q, rotated, bar)
+        if qi is None:  # most pairs are left: one product of matrices is cheaper than looking each up
+            exact = self.ints[q] @ ints.T + slack[q, None]
+            rows, vi = np.nonzero(exact >= self.least[q, None])
+            qi = q[rows]
         other = self.ids[qi] != ids[vi]
         qi, vi = qi[other], vi[other]
         exact = np.concatenate([np.zeros(0, np.int64), *(
@@ -113,6 +106,24 @@ class Open:
                 self.least[row] = max(self.least[row], -self.best[row][-1][0])
         return True
 
+    def _survivors(self, q: np.ndarray, rotated: np.ndarray, bar: np.ndarray):
+        """Pairs whose bound reaches the bar after all cuts; (None, None) while too many do to look up."""
+        part, before, qi, vi = 0.0, 0, None, None
+        for n, c in enumerate(self.cuts):
+            rest = np.linalg.norm(rotated[:, c:], axis=1)
+            if qi is None:
+                part = part + self.rotated[q, before:c] @ rotated[:, before:c].T
+                reach = part + self.rest[n][q, None] * rest[None, :] >= bar[q, None]
+                if reach.mean() <= FEW:
+                    rows, vi = np.nonzero(reach)
+                    qi, part = q[rows], part[rows, vi]
+            else:
+                part = part + np.einsum("ij,ij->i", self.rotated[qi, before:c], rotated[vi, before:c])
+                keep = part + self.rest[n][qi] * rest[vi] >= bar[qi]
+                qi, vi, part = qi[keep], vi[keep], part[keep]
+            before = c
+        return qi, vi
+
     def rows(self) -> list[tuple[int, int, int]]:
         return [(int(q), v, -s) for q, best in zip(self.ids, self.best, strict=True) for s, v in best]
 
