@@ -8,7 +8,7 @@ from .members import assign_ids, available_codes, code_pool, new_members
 from .merging import (
     FOLD_ORDER, apply_updates, changed_rows, dedupe_latest, fold_latest, folded_changes, merge_upsert,
 )
-from .quality import Expectation, QualityError, failures, passed, validate
+from .quality import Expectation, QualityError, failures, passed, validate, validate_files
 from .texttable import flight_table_json, parse_flight_table
 
 __all__ = [
@@ -16,5 +16,5 @@ __all__ = [
     "attach_facts", "available_codes", "changed_rows", "clean", "clean_rows", "code_pool",
     "compact", "dedupe_latest", "enrich", "extract_text", "failures", "files", "fold_latest", "folded_changes",
     "flight_table_json", "image_metadata", "merge_upsert", "new_members", "parse_flight_table",
-    "passed", "read_history", "snapshots", "standardize_all_strings", "validate", "write_commit",
+    "passed", "read_history", "snapshots", "standardize_all_strings", "validate", "validate_files", "write_commit",
 ]

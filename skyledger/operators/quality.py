@@ -63,6 +63,32 @@ def validate(
     return report
 
 
+def validate_files(
+    found: DataFrame, dataset: str, expectations: Sequence[Expectation], on_fail: str = "report"
+) -> DataFrame:
+    """One report row per file and expectation, from what each file really holds.
+
+    ``found`` has ``file``, ``columns`` and ``n_rows``. A file without rows is
+    ``skipped``. Rows are as in ``validate``, with ``file``.
+    """
+    if on_fail not in ("report", "raise"):
+        raise ValueError(f"unknown on_fail {on_fail!r}")
+    checks = F.array(*[F.struct(F.lit(e.name).alias("expectation"), F.lit(e.column).alias("column")) for e in expectations])
+    rows = found.select("file", "columns", "n_rows", F.explode(checks).alias("check")).select("*", "check.*")
+    ok, skipped = F.array_contains("columns", F.col("column")), F.col("n_rows") == 0
+    report = rows.select(
+        F.lit(dataset).alias("dataset"), "file", "expectation", "column",
+        F.when(skipped, "skipped").when(ok, "passed").otherwise("failed").alias("status"),
+        F.when(~skipped, ok).alias("success"), "n_rows",
+        F.when(~skipped & ~ok, F.concat(F.lit("no column "), "column")).alias("detail"),
+    )
+    if on_fail == "raise":
+        missing = [f"{r['file']}: {r['detail']}" for r in failures(report).limit(20).collect()]
+        if missing:
+            raise QualityError(f"{dataset}: {'; '.join(missing)}")
+    return report
+
+
 def failures(report: DataFrame) -> DataFrame:
     return report.where(~F.col("success"))
 

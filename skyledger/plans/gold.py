@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import attach_facts, dedupe_latest, enrich
 
@@ -20,13 +21,28 @@ CITY_WEATHER = (
 )
 
 
+# What cleaning puts where a code or name is missing.
+PLACEHOLDERS = ("XX", "XXX", "UNKNOWN", "")
+
+
+def matched(code: str) -> Column:
+    """A code as joins compare it: upper case, no spaces around; placeholders match nothing."""
+    key = F.upper(F.trim(F.col(code).cast("string")))
+    return F.when(~key.isin(*PLACEHOLDERS), key)
+
+
+def _keyed(df: DataFrame, code: str) -> DataFrame:
+    return df.withColumn("__key", matched(code))
+
+
 def flight_performance(
     flights: DataFrame, airlines: DataFrame, unique_dim: bool = False
 ) -> DataFrame:
     """Flights with the name of their airline."""
     joined = enrich(
-        flights.withColumnRenamed("status", "flight_status"), airlines,
-        on={"airline_iata": "iata"}, take={"name": "airline_name"}, unique_dim=unique_dim,
+        _keyed(flights.withColumnRenamed("status", "flight_status"), "airline_iata"),
+        _keyed(airlines, "iata").where("__key IS NOT NULL"),
+        on={"__key": "__key"}, take={"name": "airline_name"}, unique_dim=unique_dim,
     )
     return joined.select(*FLIGHT_PERFORMANCE)
 
@@ -39,19 +55,20 @@ def flight_weather(
     Weather is cut to one row per place before the join: joining all readings
     of a place to all its flights would pair them all.
     """
+    readings = _keyed(weather, city_col).where("__key IS NOT NULL")
     latest = dedupe_latest(
-        weather.select(city_col, "timestamp", "weather_desc", "temperature_c", "wind_speed_kmh"),
-        city_col, "timestamp",
+        readings.select("__key", "timestamp", "weather_desc", "temperature_c", "wind_speed_kmh"),
+        "__key", "timestamp",
     )
     return enrich(
-        flight_performance(flights, airlines), latest,
-        on={"departure_airport_iata": city_col},
+        _keyed(flight_performance(flights, airlines), "departure_airport_iata"), latest,
+        on={"__key": "__key"},
         take={
             "weather_desc": "weather_condition",
             "temperature_c": "temperature_c",
             "wind_speed_kmh": "wind_speed_kmh",
         },
-    )
+    ).drop("__key")
 
 
 def airport_capacity(
@@ -60,7 +77,8 @@ def airport_capacity(
     """Airports with the name, continent and population of their country."""
     own = airports.select("airport_id", "airport_name", "country_iso2")
     joined = enrich(
-        own, countries, on={"country_iso2": "iso2"},
+        _keyed(own, "country_iso2"), _keyed(countries, "iso2").where("__key IS NOT NULL"),
+        on={"__key": "__key"},
         take={"name": "country_name", "continent": "continent", "population": "population"},
         unique_dim=unique_dim,
     )
@@ -71,11 +89,18 @@ def city_weather(
     cities: DataFrame, weather: DataFrame, countries: DataFrame, city_key: str = "iata_code",
     weather_key: str = "city",
 ) -> DataFrame:
-    """Cities with their weather readings and country; a city without readings keeps a row."""
+    """Cities with their weather readings and country; a city without readings keeps a row.
+
+    Places and codes are compared in upper case; placeholders match nothing.
+    """
     named = enrich(
-        cities.select(city_key, "city_name", "country_iso2", "latitude", "longitude"), countries,
-        on={"country_iso2": "iso2"}, take={"name": "country_name"},
+        _keyed(cities.select(city_key, "city_name", "country_iso2", "latitude", "longitude"), "country_iso2"),
+        _keyed(countries, "iso2").where("__key IS NOT NULL"),
+        on={"__key": "__key"}, take={"name": "country_name"},
     )
     readings = ("temperature_c", "humidity", "wind_speed_kmh", "weather_desc")
-    joined = attach_facts(named, weather, on={city_key: weather_key}, take={c: c for c in readings})
+    joined = attach_facts(
+        _keyed(named, city_key), _keyed(weather, weather_key).where("__key IS NOT NULL"),
+        on={"__key": "__key"}, take={c: c for c in readings},
+    )
     return joined.select(*CITY_WEATHER)

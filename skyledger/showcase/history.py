@@ -16,7 +16,8 @@ from .standins import view
 COLUMNS = ("id", "name", "iata", "status", "hub")
 PICKED = ", ".join(COLUMNS)
 WRITTEN = (
-    f"{CHANGES}, latest AS ({LATEST_CHANGES}), second AS (SELECT s.id, "
+    f"{CHANGES}, latest AS ({LATEST_CHANGES} UNION ALL "
+    "SELECT id, name, iata, status FROM changes WHERE id IS NULL), second AS (SELECT s.id, "
     "coalesce(s.name, t.name) AS name, coalesce(s.iata, t.iata) AS iata, "
     "coalesce(s.status, t.status) AS status, t.hub FROM latest s LEFT JOIN airlines t ON s.id = t.id)"
 )
@@ -26,7 +27,7 @@ def _commits(spark: SparkSession, sf_dir: str) -> str:
     path = work_dir(spark, "history")
     first = view(spark, sf_dir, "airlines").select(*COLUMNS)
     write_commit(first, path, 1)
-    changes = view(spark, sf_dir, "airline_changes").where(F.col("id").isNotNull())
+    changes = view(spark, sf_dir, "airline_changes")
     source = dedupe_latest(changes, "id", "seq").drop("seq")
     for _ in range(2):
         current = as_of(read_history(spark, path), 1, "id")
@@ -41,7 +42,7 @@ def history_first_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @shown(
     f"{WRITTEN} SELECT {PICKED} FROM second UNION ALL "
-    f"SELECT {PICKED} FROM airlines WHERE id NOT IN (SELECT id FROM second)"
+    f"SELECT {PICKED} FROM airlines WHERE id NOT IN (SELECT id FROM second WHERE id IS NOT NULL)"
 )
 def history_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of(read_history(spark, _commits(spark, sf_dir)), keys="id")
@@ -74,7 +75,7 @@ def history_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @shown(
     f"{WRITTEN}, kept AS (SELECT {PICKED} FROM second UNION ALL "
-    f"SELECT {PICKED} FROM airlines WHERE id NOT IN (SELECT id FROM second)) "
+    f"SELECT {PICKED} FROM airlines WHERE id NOT IN (SELECT id FROM second WHERE id IS NOT NULL)) "
     f"SELECT CAST(2 AS BIGINT) AS commit_id, {PICKED} FROM kept"
 )
 def history_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ from .standins import table, view
 FLIGHT_SQL = (
     "SELECT f.flight_id, f.flight_number, f.airline_iata, a.name AS airline_name, "
     "f.aircraft_type, f.departure_airport_iata, f.arrival_airport_iata, f.distance_km, "
-    "f.status AS flight_status FROM flights f LEFT JOIN {airlines} a ON f.airline_iata = a.iata"
+    "f.status AS flight_status FROM flights f LEFT JOIN {airlines} a ON f.airline_iata = a.iata "
+    "AND a.iata <> 'XXX'"
 )
 
 
@@ -41,7 +42,8 @@ def flight_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @shown(
     f"{CLEANED_VIEWS} SELECT a.airport_id, a.airport_name, a.country_iso2, c.name AS country_name, "
-    "c.continent, c.population FROM airports a LEFT JOIN countries c ON a.country_iso2 = c.iso2"
+    "c.continent, c.population FROM airports a LEFT JOIN countries c ON a.country_iso2 = c.iso2 "
+    "AND c.iso2 <> 'XX'"
 )
 def airport_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.airport_capacity(
@@ -54,13 +56,12 @@ def airport_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{CLEANED_VIEWS} SELECT i.city_name, i.country_iso2, c.name AS country_name, i.latitude, "
     "i.longitude, w.temperature_c, w.humidity, w.wind_speed_kmh, w.weather_desc "
     "FROM cities i LEFT JOIN weather w ON i.iata_code = upper(w.city) "
-    "LEFT JOIN countries c ON i.country_iso2 = c.iso2"
+    "LEFT JOIN countries c ON i.country_iso2 = c.iso2 AND c.iso2 <> 'XX'"
 )
 def city_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weather = _clean(spark, sf_dir, "weather", "WEATHER").selectExpr("*", "upper(city) AS place")
     return gold.city_weather(
-        _clean(spark, sf_dir, "cities", "CITIES"), weather,
-        _clean(spark, sf_dir, "countries", "COUNTRIES"), weather_key="place",
+        _clean(spark, sf_dir, "cities", "CITIES"), _clean(spark, sf_dir, "weather", "WEATHER"),
+        _clean(spark, sf_dir, "countries", "COUNTRIES"),
     )
 
 

@@ -102,7 +102,9 @@ LATEST_CHANGES = (
 
 
 @shown(
-    f"{CHANGES}, latest AS ({LATEST_CHANGES}) SELECT s.id, coalesce(s.name, t.name) AS name, "
+    f"{CHANGES}, latest AS ({LATEST_CHANGES} UNION ALL "
+    "SELECT id, name, iata, status FROM changes WHERE id IS NULL) "
+    "SELECT s.id, coalesce(s.name, t.name) AS name, "
     "coalesce(s.iata, t.iata) AS iata, coalesce(s.status, t.status) AS status, t.hub "
     "FROM latest s LEFT JOIN airlines t ON s.id = t.id WHERE t.id IS NULL "
     "OR coalesce(s.name, t.name) IS DISTINCT FROM t.name "
@@ -110,7 +112,7 @@ LATEST_CHANGES = (
     "OR coalesce(s.status, t.status) IS DISTINCT FROM t.status"
 )
 def changed_airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = view(spark, sf_dir, "airline_changes").where(F.col("id").isNotNull())
+    changes = view(spark, sf_dir, "airline_changes")
     current = view(spark, sf_dir, "airlines").select("id", "name", "iata", "status", "hub")
     return changed_rows(current, dedupe_latest(changes, "id", "seq").drop("seq"), "id")
 

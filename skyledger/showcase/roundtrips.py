@@ -68,14 +68,13 @@ def json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WEATHER_BACK = (
-    "city, country, CASE WHEN region = '' THEN NULL ELSE region END AS region, temperature_c, "
-    "humidity, timestamp"
+    "city, country, region, temperature_c, humidity, timestamp"
 )
 
 
 @shown(f"{with_sql(weather=view_sql('weather'))} SELECT {WEATHER_BACK} FROM weather")
 def day_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day folders written by timestamp and read back over all days; blanks become null."""
+    """Day folders written by timestamp and read back over all days."""
     root = work_dir(spark, "landing")
     weather = view(spark, sf_dir, "weather").select(
         "city", "country", "region", "temperature_c", "humidity", "timestamp"

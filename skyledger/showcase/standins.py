@@ -61,7 +61,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
             "CAST(c_custkey + 1 AS STRING) AS airport_id",
             "CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE ' a' || CAST(c_custkey AS STRING) END AS iata_code",
             "'K' || CAST(c_custkey AS STRING) AS icao_code",
-            "CASE WHEN c_custkey % 9 = 0 THEN 'ZZ' ELSE CAST(c_nationkey AS STRING) END AS country_iso2",
+            "CASE WHEN c_custkey % 9 = 0 THEN 'XX' ELSE CAST(c_nationkey AS STRING) END AS country_iso2",
             "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE lower(c_mktsegment) || ' ' END AS country_name",
             "CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE upper(c_name) || ' INTL ' END AS airport_name",
         ],
@@ -71,7 +71,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         [
             "CAST(n_nationkey AS STRING) AS id",
             "' ' || lower(n_name) AS name",
-            "CAST(n_nationkey AS STRING) AS iso2",
+            "CASE WHEN n_nationkey % 8 = 3 THEN NULL ELSE CAST(n_nationkey AS STRING) END AS iso2",
             "CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE 'town ' || lower(n_name) END AS capital",
             "CASE WHEN n_nationkey % 6 = 0 THEN NULL ELSE 'r' || CAST(n_regionkey AS STRING) END AS continent",
             "CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE CAST(n_nationkey * 1000 AS STRING) END AS population",
@@ -118,7 +118,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         [
             "CAST(o_orderkey AS STRING) AS flight_id",
             "' ' || lower(o_orderpriority) || ' ' AS flight_number",
-            "CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE 'C' || CAST(o_custkey AS STRING) END AS airline_iata",
+            "CASE WHEN o_orderkey % 10 = 0 THEN 'XXX' ELSE 'C' || CAST(o_custkey AS STRING) END AS airline_iata",
             "'U' || CAST(o_custkey AS STRING) AS departure_airport_iata",
             "'A' || CAST(o_custkey AS STRING) AS arrival_airport_iata",
             "o_orderpriority AS aircraft_type",

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from .publish import clustered
 
-# Keep spaces at the ends of text: the CSV writer drops them by default.
+# Keep spaces at the ends of text, which the CSV writer drops by default, and double quotes
+# inside quotes, so that a backslash is only a backslash.
 CSV_OPTIONS = {
     "header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    "escape": '"',
 }
 DAY = ("year", "month", "day")
 

@@ -2,29 +2,38 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 from datetime import date
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import base_name
 
 
+# What this library's writers leave apart: an empty field is null, a quoted empty one an empty
+# text. Any mark that no file holds makes the reader tell them apart.
+BLANKS_STAY = {"nullValue": "\x00"}
+
+
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: StructType | None = None,
-    infer: bool = False, **options,
+    infer: bool = False, line_breaks: bool = True, **options,
 ) -> DataFrame:
     """CSV with a header row. Without a schema every column is text, unless ``infer`` is set.
 
     With a schema the header names are checked against it, so a file whose
     columns moved fails instead of filling the wrong columns; ``infer`` costs
-    one extra pass over the files.
+    one extra pass over the files. Empty fields, quoted or not, are null;
+    ``**BLANKS_STAY`` keeps quoted ones as empty text. Quoted text may hold line breaks, so a file
+    is one task; ``line_breaks=False`` splits big files known to have none.
     """
-    reader = spark.read.option("header", True).options(**options)
+    reader = spark.read.options(header=True, multiLine=line_breaks, escape='"').options(**options)
     if schema is not None:
         return reader.option("enforceSchema", False).schema(schema).csv(path)
     return reader.option("inferSchema", infer).csv(path)
@@ -50,6 +59,58 @@ def read_json_lines(
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
+def exact_path(uri: str) -> str:
+    """The path of a file's URI as a reader takes it: decoded, its pattern signs escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
+
+
+def file_columns(spark: SparkSession, path: str | list[str], fmt: str) -> DataFrame:
+    """What each file really holds: ``file``, ``columns`` and ``n_rows``.
+
+    CSV: the header line. JSON: all keys of its objects. A scan passes over
+    files of no bytes; a file of a header only has no rows.
+    """
+    if fmt == "csv":
+        lines = spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("file"), "value", "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("at"),
+        )
+        head = lines.where("file_block_start = 0").groupBy("file").agg(F.min_by("value", "at").alias("head"))
+        names = F.transform(F.split("head", ","), lambda c: F.trim(F.regexp_replace(F.trim(c), '^\ufeff?"|"$', "")))
+        heads = head.select("file", F.filter(names, lambda c: c != "").alias("columns"))
+        # One column is enough to count rows, and needs no look into files for more.
+        some = spark.read.options(header=True, multiLine=True, escape='"').schema("row string").csv(path)
+        counted = some.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n_rows"))
+    else:
+        kind = "array<map<string,string>>" if fmt == "json" else "map<string,string>"
+        texts = spark.read.text(path, wholetext=fmt == "json")
+        parsed = texts.select(F.col("_metadata.file_path").alias("file"), F.from_json("value", kind).alias("v"))
+        rows = parsed.select("file", F.explode("v").alias("v")) if fmt == "json" else parsed
+        rows = rows.where(F.col("v").isNotNull())
+        heads = rows.select("file", F.explode(F.map_keys("v")).alias("c")).groupBy("file").agg(
+            F.array_sort(F.collect_set("c")).alias("columns")
+        )
+        counted = rows.groupBy("file").agg(F.count("*").alias("n_rows"))
+    found = heads.join(counted, "file", "full_outer")
+    return found.select("file", F.coalesce("columns", F.array().cast("array<string>")).alias("columns"), F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))
+
+
+def read_csv_by_name(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """CSV files whose headers may differ, joined by column name; what a file lacks is null.
+
+    Only one header per file reaches the driver; files of one header are one scan.
+    """
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for row in file_columns(spark, path, "csv").where(F.size("columns") > 0).collect():
+        by_header.setdefault(tuple(row["columns"]), []).append(exact_path(row["file"]))
+    kinds = {f.name: f.dataType for f in schema.fields}
+    parts = [spark.createDataFrame([], schema)]
+    for names, files in by_header.items():
+        own = StructType([StructField(n, kinds.get(n, StringType())) for n in names])
+        parts.append(read_csv(spark, files, own).select(*[n for n in names if n in kinds]))
+    return union_files(parts).select(*schema.fieldNames())
+
+
 READERS = {"csv": read_csv, "json": read_json_array, "jsonl": read_json_lines}
 
 
@@ -61,7 +122,8 @@ def read_day(
 
     ``layout="folders"`` is ``root/YYYY/MM/DD/<fmt>/<dataset>/*``; ``"landed"``
     is what :func:`skyledger.sinks.land` writes. The day is part of the path,
-    so only its own folder is listed. With a schema, a missing day is empty.
+    so only its own folder is listed. With a schema, a missing day is empty, and
+    CSV files are joined by column name.
     """
     if layout == "landed":
         path = f"{root}/{fmt}/{dataset}"
@@ -74,7 +136,9 @@ def read_day(
     if schema is None:
         rows = READERS[fmt](spark, path)
     else:
-        rows = read_or_empty(spark, lambda: READERS[fmt](spark, path, schema), schema)
+        reader = read_csv_by_name if fmt == "csv" and layout == "folders" else READERS[fmt]
+        options = BLANKS_STAY if fmt == "csv" and layout == "landed" else {}
+        rows = read_or_empty(spark, lambda: reader(spark, path, schema, **options), schema)
     return rows.drop("year", "month", "day") if layout == "landed" else rows
 
 
@@ -121,7 +185,7 @@ def read_latest(
         .orderBy(F.desc("modificationTime"), "path")
         .first()
     )
-    return None if newest is None else reader(spark, newest["path"])
+    return None if newest is None else reader(spark, exact_path(newest["path"]))
 
 
 def read_or_empty(

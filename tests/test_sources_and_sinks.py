@@ -10,10 +10,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from skyledger.sinks import ensure_namespace, export_csv, export_json, land, load_jdbc, publish
 from skyledger.sources import (
-    read_csv, read_day, read_files, read_images, read_jdbc, read_json_array, read_json_lines,
+    file_columns, read_csv, read_day, read_files, read_images, read_jdbc, read_json_array,
+    read_json_lines,
     read_latest, read_or_empty, table_exists, union_files, with_file_name,
 )
 
+from skyledger.sources.files import BLANKS_STAY
+
 AB = StructType([StructField("a", StringType()), StructField("b", StringType())])
 
 
@@ -180,3 +183,22 @@ def test_tables_of_another_catalog(spark, tmp_path):
     assert spark.table(table).count() == 5
     publish(spark.range(4), table)
     assert spark.table(table).count() == 4
+
+
+def test_csv_keeps_line_breaks_quotes_and_blanks(spark, tmp_path):
+    odd = [("1", 'a "b"\nc, d\\'), ("2", ""), ("3", None), ("4", "\r\n x \\"), ("5", 'end"')]
+    export_csv(spark.createDataFrame(odd, AB).coalesce(1), str(tmp_path / "odd"))
+    assert rows(read_csv(spark, str(tmp_path / "odd"), **BLANKS_STAY)) == rows(spark.createDataFrame(odd, AB))
+
+
+def test_files_of_a_day_are_joined_by_name(spark, tmp_path):
+    folder = tmp_path / "2024/01/05/csv/x"
+    folder.mkdir(parents=True)
+    (folder / "one[1].csv").write_text("a,b\n1,2\n")
+    (folder / "two 2.csv").write_text("c,b\n9,8\n")
+    (folder / "none.csv").write_text("")
+    (folder / "head.csv").write_text("b,d\n")
+    got = read_day(spark, str(tmp_path), "x", "csv", date(2024, 1, 5), AB)
+    assert rows(got) == [(None, "8"), ("1", "2")]
+    found = file_columns(spark, f"{folder}/*.csv", "csv")
+    assert sorted((list(r["columns"]), r["n_rows"]) for r in found.collect()) == [(["a", "b"], 1), (["b", "d"], 0), (["c", "b"], 1)]
