@@ -6,7 +6,6 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import work_dir
 from ..sinks import export_csv, export_json, land
@@ -134,9 +133,6 @@ def latest_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, root, "weather_data", read_csv, glob="*.csv")
 
 
-NAMES = StructType([StructField("value", StringType())])
-
-
 @shown("SELECT doc_id, source AS folder FROM documents")
 def file_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written by source; each row names the file it came from."""
