@@ -42,7 +42,9 @@ LONGEST = 62
 #: Bytes of text in a block.
 BLOCK_BYTES = 1 << 25
 #: A piece table is broadcast; models with more pieces are refused.
-MOST_PIECES = 1 << 20
+MOST_PIECES = (1 << 20) - 1
+#: Stands for the id of a character without a piece.
+NO_PIECE = (1 << 20) - 1
 
 
 @dataclass(frozen=True)
@@ -110,8 +112,8 @@ def _fallback(char: Column, model: Model) -> Column:
     return F.transform(codes, lambda c: F.get(table, F.conv(c, 16, 10).cast("int")))
 
 
-def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """``(word, edges)`` of distinct ``word`` values: every piece in a word, and every character without one.
+def _matches(words: DataFrame, model: Model) -> DataFrame:
+    """Every piece in a word, and every character without one: ``word``, ``piece``, ``rank``, ``score``, ``id``, ``a``, ``b``.
 
     The explode and the broadcast join keep words where they are, so grouping
     edges by word needs no second shuffle.
@@ -122,17 +124,30 @@ def lattice(words: DataFrame, model: Model) -> DataFrame:
     parts = spots.select("word", "s", F.explode(F.sequence(F.lit(1), most)).alias("n"))
     parts = parts.withColumn("piece", F.substr("word", F.col("s"), F.col("n")))
     found = parts.join(_piece_table(words.sparkSession, model), "piece", "left").where((F.col("n") == 1) | F.col("id").isNotNull())
+    return found.withColumns({"a": F.col("s") - 1, "b": F.col("s") - 1 + F.col("n")})
+
+
+def lattice(words: DataFrame, model: Model) -> DataFrame:
+    """``(word, edges)``: an edge has its ends ``a`` and ``b``, its ``score`` and its ``ids``."""
     least = min(s for _, _, s in model.pieces)
-    one = F.lit(1).cast("long")
-    a, b = F.col("s") - 1, F.col("s") - 1 + F.col("n")
-    bit = lambda k: F.call_function("shiftleft", one, k)
     edge = F.struct(
-        F.coalesce("rank", F.lit(len(model.pieces))).alias("rank"), a.alias("a"), b.alias("b"),
-        F.coalesce("score", F.lit(least - 10.0)).alias("score"),
+        "a", "b", F.coalesce("score", F.lit(least - 10.0)).alias("score"),
         F.when(F.col("id").isNotNull(), F.array("id")).otherwise(_fallback(F.col("piece"), model)).alias("ids"),
-        (bit(a) + bit(b)).alias("ends"), (bit(b) - bit(a + 1)).alias("inner"),
     )
-    return found.groupBy("word").agg(F.collect_list(edge).alias("edges"))
+    return _matches(words, model).groupBy("word").agg(F.collect_list(edge).alias("edges"))
+
+
+def packed_lattice(words: DataFrame, model: Model) -> DataFrame:
+    """``(word, edges)`` of words up to ``LONGEST``, an edge as one number that sorts by rank, then place.
+
+    From the top: rank, id (``NO_PIECE`` for a character without one), ``a``, ``b``.
+    """
+    number = lambda c, by: F.call_function("shiftleft", F.col(c).cast("long"), F.lit(by))
+    whole = _matches(words, model).withColumns({
+        "rank": F.coalesce("rank", F.lit(len(model.pieces))), "id": F.coalesce("id", F.lit(NO_PIECE)),
+    })
+    edge = number("rank", 32) + number("id", 12) + number("a", 6) + F.col("b").cast("long")
+    return whole.groupBy("word").agg(F.collect_list(edge).alias("edges"))
 
 
 def viterbi(word: Column, edges: Column) -> Column:
@@ -150,23 +165,38 @@ def viterbi(word: Column, edges: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step, lambda best: F.element_at(best, -1)["ids"])
 
 
-def joined(word: Column, edges: Column) -> Column:
-    """Ids after joining, again and again, the leftmost best-ranked pair of neighbours."""
-    length = F.length(word)
-    all_cuts = F.call_function("shiftleft", F.lit(1).cast("long"), length + 1) - 1
-    ranked = F.array_sort(F.filter(edges, lambda e: e["b"] > e["a"] + 1))
+def joined(word: Column, edges: Column, model: Model) -> Column:
+    """Ids after joining, again and again, the leftmost best-ranked pair of neighbours.
+
+    ``edges`` are packed; the state is a mask of the cuts left, and the edges of
+    more than one character, best first, as masks of their ends and insides.
+    """
+    one = F.lit(1).cast("long")
+    bit = lambda k: F.call_function("shiftleft", one, k)
+    part = lambda e, by, bits: F.call_function("shiftright", e, F.lit(by)).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+    start, end = (lambda e: part(e, 6, 6)), (lambda e: part(e, 0, 6))
+
+    def masks(e: Column) -> Column:
+        a, b = start(e), end(e)
+        return F.struct((bit(a) + bit(b)).alias("ends"), (bit(b) - bit(a + 1)).alias("inner"), a.alias("a"), part(e, 12, 20).alias("id"))
+
+    all_edges = F.transform(F.array_sort(edges), masks)
+    first = F.struct((bit(F.length(word) + 1) - 1).alias("cuts"), all_edges.alias("all"), F.filter(all_edges, lambda e: e["inner"] != 0).alias("pairs"))
 
-    def step(cuts: Column, _: Column) -> Column:
-        fits = F.filter(ranked, lambda e: (cuts.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(cuts.bitwiseAND(e["inner"])) == 1))
-        best = F.get(fits, F.lit(0))
-        return F.coalesce(cuts.bitwiseAND(F.bitwise_not(best["inner"])), cuts)
+    def step(state: Column, _: Column) -> Column:
+        cuts = state["cuts"]
+        fits = F.filter(state["pairs"], lambda e: (cuts.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(cuts.bitwiseAND(e["inner"])) == 1))
+        inner = F.coalesce(F.get(fits, F.lit(0))["inner"], F.lit(0).cast("long"))
+        return F.struct(cuts.bitwiseAND(F.bitwise_not(inner)).alias("cuts"), state["all"].alias("all"), state["pairs"].alias("pairs"))
 
-    def ids(cuts: Column) -> Column:
-        kept = F.filter(edges, lambda e: (cuts.bitwiseAND(e["ends"]) == e["ends"]) & (cuts.bitwiseAND(e["inner"]) == 0))
-        by_place = F.array_sort(F.transform(kept, lambda e: F.struct(e["a"].alias("a"), e["ids"].alias("ids"))))
-        return F.flatten(F.transform(by_place, lambda e: e["ids"]))
+    def ids(state: Column) -> Column:
+        cuts = state["cuts"]
+        kept = F.filter(state["all"], lambda e: (cuts.bitwiseAND(e["ends"]) == e["ends"]) & (cuts.bitwiseAND(e["inner"]) == 0))
+        by_place = F.array_sort(F.transform(kept, lambda e: F.struct(e["a"].alias("a"), e["id"].alias("id"))))
+        char = lambda e: F.substr(word, e["a"] + 1, F.lit(1))
+        return F.flatten(F.transform(by_place, lambda e: F.when(e["id"] != NO_PIECE, F.array(e["id"])).otherwise(_fallback(char(e), model))))
 
-    return F.aggregate(F.sequence(F.lit(1), length), all_cuts, step, ids)
+    return F.aggregate(F.sequence(F.lit(1), F.length(word)), first, step, ids)
 
 
 def join_pairs(word: str, ranks: dict[str, int]) -> list[str]:
@@ -221,8 +251,8 @@ def encode_words(words: DataFrame, model: Model) -> DataFrame:
     words = words.select("word").distinct()
     if not model.bpe:
         return lattice(words, model).select("word", viterbi(F.col("word"), F.col("edges")).alias("ids"))
-    short = lattice(words.where(F.length("word") <= LONGEST), model)
-    short = short.select("word", joined(F.col("word"), F.col("edges")).alias("ids"))
+    short = packed_lattice(words.where(F.length("word") <= LONGEST), model)
+    short = short.select("word", joined(F.col("word"), F.col("edges"), model).alias("ids"))
     return short.union(_long_words(words.where(F.length("word") > LONGEST), model))
 
 

@@ -142,6 +142,16 @@ def _word_forms(words: list[str]) -> set[str]:
     return {f for w in set(words) if len(w) >= SHORT for f in _forms(w)}
 
 
+def _needed(forms: dict[str, tuple[float, int]], share: float = 0.9) -> dict[str, float]:
+    """Forms without the starts that one longer form explains: " path" where only " pathetic " was seen."""
+    out, ordered = {}, sorted(forms)  # what a form starts follows it
+    for k, form in enumerate(ordered):
+        rest = (forms[f][1] for f in ordered[k + 1 : next((j for j in range(k + 1, len(ordered)) if not ordered[j].startswith(form)), len(ordered))])
+        if max(rest, default=0) < share * forms[form][1]:
+            out[form] = forms[form][0]
+    return out
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     """Bias and weights by ridge-damped Newton steps."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -172,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, lexicon: in
     odds = F.log((F.col("toxic") + 0.5) / (F.lit(p) + 1.0)) - F.log((F.col("clean") + 0.5) / (F.lit(n - p) + 1.0))
     forms = _counted(rows, _word_forms).where((F.col("toxic") >= least) & (odds > 2.0)).withColumn("odds", odds)
     picked = forms.orderBy(F.desc(F.col("odds") * F.sqrt(F.col("toxic"))), "form").limit(lexicon).collect()
-    weights = {r["form"]: r["odds"] for r in picked}
+    weights = _needed({r["form"]: (r["odds"], r["toxic"]) for r in picked})
 
     finder = Lexicon(weights, (), (0.0, 0.0, 0.0)).finder()
 

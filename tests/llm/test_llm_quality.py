@@ -100,3 +100,8 @@ def test_folding_and_exceptions():
     assert toxicity.hits(toxicity.fold("a stopid stopidly one"), finder) == 5.0
     assert toxicity.hits(toxicity.fold("not stopid but stopid"), finder) == 3.0
     assert toxicity.hits([], finder) == 0.0
+
+
+def test_starts_explained_by_one_word_are_left_out():
+    forms = {" path": (7.0, 20), " pathe": (7.0, 20), " pathetic ": (7.0, 20), " chll": (6.0, 30), " chlla": (6.0, 12), " chlle": (5.0, 11)}
+    assert set(toxicity._needed(forms)) == {" pathetic ", " chll", " chlla", " chlle"}
