@@ -73,11 +73,15 @@ def test_empty_tables(spark):
     assert line_dedup.report(nothing).count() == 0 and line_dedup.dedup(nothing).count() == 0
 
 
-def test_transforms_find_all_repeats():
+@pytest.mark.parametrize("clear", [1, 2, 20])
+def test_transforms_find_all_repeats(monkeypatch, clear):
+    monkeypatch.setattr(bwt, "CLEAR", clear)
     draw = random.Random(3)
-    for _ in range(25):
-        strings = [bytes(draw.choice(b"ab\0") for _ in range(draw.randint(0, 40))) for _ in range(draw.randint(1, 12))]
-        for length in (3, 6, 11):
+    for _ in range(120):
+        letters = draw.choice([b"ab\0", b"abcdefgh"])
+        strings = [bytes(draw.choice(letters) for _ in range(draw.randint(0, 40))) for _ in range(draw.randint(1, 12))]
+        strings += [s[draw.randint(0, 9) :] + b"x" for s in strings[: draw.randint(0, 4)]]
+        for length in (3, 6, 11, 25):
             got, want = {}, {}
             for i, s, o in zip(*bwt.repeats(strings, length, 20), strict=True):
                 got.setdefault(int(i), set()).add((int(s), int(o)))
