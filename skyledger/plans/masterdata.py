@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,10 @@ from .silver import Layers
 from .specs import DAILY_FOLDER, ID_BASE
 
 
+# What generated names begin with.
+CAPITAL_OF, UPDATED, NEW = "Capital ", "Updated ", "New "
+
+
 def next_start(master: DataFrame, base: int, id_col: str = "id") -> int:
     """How far ids above ``base`` are used: the first free offset."""
     top = master.agg(F.max(F.col(id_col).cast("long"))).first()[0]
@@ -40,7 +46,7 @@ def discover_countries(
         "id",
         name.alias("name"),
         F.upper(F.substring(name, 1, 2)).alias("iso2"),
-        F.concat(F.lit("Capital "), name).alias("capital"),
+        F.concat(F.lit(CAPITAL_OF), name).alias("capital"),
         F.lit(continent).cast("string").alias("continent"),
         F.lit(population).cast("string").alias("population"),
         when.alias("created_at"),
@@ -55,11 +61,16 @@ def store_members(spark: SparkSession, layers: Layers, dimension: str, rows: Dat
 
 
 def add_countries_from_weather(
-    spark: SparkSession, layers: Layers, stamp: str | Column, master_col: str = "iso2"
+    spark: SparkSession, layers: Layers, stamp: str | Column, master_col: str = "iso2",
+    run_date: date | None = None,
 ) -> bool:
-    """Add the countries of the newest weather file; whether there was such a file."""
+    """Add the countries of the newest weather file; whether there was such a file.
+
+    ``run_date`` lists that day's folder only, instead of every day's.
+    """
     folder = DAILY_FOLDER["weather"]
-    weather = read_latest(spark, f"{layers.root}/*/*/*/csv/{folder}", folder, read_csv)
+    day = f"{run_date:%Y/%m/%d}" if run_date else "*/*/*"
+    weather = read_latest(spark, f"{layers.root}/{day}/csv/{folder}", folder, read_csv)
     if weather is None:
         return False
     countries = spark.table(layers.silver_table("countries"))
@@ -100,7 +111,7 @@ def update_airlines(airlines: DataFrame, changes: DataFrame, stamp: str | Column
 
 def update_airports(airports: DataFrame, changes: DataFrame, stamp: str | Column) -> DataFrame:
     """``changes``: id with a new country_iso2; the airport's name is marked as updated."""
-    marked = F.concat(F.lit("Updated "), F.col("airport_name"))
+    marked = F.concat(F.lit(UPDATED), F.col("airport_name"))
     return apply_updates(
         airports, changes.select("id", "country_iso2"), "id", "updated_at", stamp,
         derive={"airport_name": marked},
@@ -109,7 +120,7 @@ def update_airports(airports: DataFrame, changes: DataFrame, stamp: str | Column
 
 def update_countries(countries: DataFrame, changes: DataFrame, stamp: str | Column) -> DataFrame:
     """``changes``: id with a new population; the capital's name is marked as new."""
-    marked = F.concat(F.lit("New "), F.col("capital"))
+    marked = F.concat(F.lit(NEW), F.col("capital"))
     return apply_updates(
         countries, changes.select("id", "population"), "id", "updated_at", stamp,
         derive={"capital": marked},
