@@ -120,13 +120,13 @@ def links(prints: DataFrame, radius: int = RADIUS, agreeing: int = AGREEING) ->
 
 
 def _classes(rows: DataFrame, radius: int) -> DataFrame:
-    """``(fingerprint, component_id)`` of rows ``(doc_id, fingerprint)``."""
+    """``(fingerprint, component, component_id)`` of rows ``(doc_id, fingerprint)``: the root, and the least id."""
     prints = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "prints")
     groups = components(links(prints, radius)).withColumnRenamed("node", "fingerprint")
     grouped = prints.join(groups, "fingerprint", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "fingerprint"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    return grouped.join(least, "component").select("fingerprint", "component_id")
+    return grouped.join(least, "component").select("fingerprint", "component", "component_id")
 
 
 def near_duplicates(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
@@ -142,7 +142,9 @@ def one_of_each(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS) ->
     """The documents with the smallest ``doc_id`` of their component, with all their columns.
 
     Rows without ``doc_id`` stay only where no row of the component has one, and
-    of rows that share a kept id those with the smallest text hash stay.
+    of rows of a component that share its kept id, or all lack one, those with
+    the smallest text hash stay. Components may share an id, or all lack one:
+    each keeps its own.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
@@ -151,7 +153,8 @@ def one_of_each(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS) ->
     rows = stored(rows, "simhash")
     named = rows.join(_classes(rows, radius), "fingerprint")
     first = named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.groupBy("component_id").agg(F.min("text_hash").alias("text_hash"))
+    first = first.groupBy("component").agg(F.first("component_id").alias("component_id"), F.min("text_hash").alias("text_hash"))
+    first = first.select("component_id", "text_hash")
     names = [fresh(docs, n) for n in ("_kept_id", "_kept_hash")]
     first = first.toDF(*names)
     same = docs["doc_id"].cast("long").eqNullSafe(first[names[0]]) & (F.xxhash64(docs["text"]) == first[names[1]])

@@ -66,6 +66,15 @@ def test_simhash_equals_brute_force(spark, monkeypatch, small):
     assert {i for i in ids if i is not None} - want <= {3} and want <= set(ids) and ids.count(None) == 1
 
 
+def test_each_component_keeps_one_text(spark):
+    """Components that share an id, or have none, do not push each other out."""
+    a, b, c, d = (f"{w} " * 3 + " ".join(f"{w}{k}" for k in range(20)) for w in ("ash", "birch", "cedar", "dogwood"))
+    rows = [(None, a), (None, a + "\n"), (None, b), (None, c), (7, c), (9, c), (8, a.replace("ash", "elm")), (8, d)]
+    kept = [tuple(r) for r in simhash.one_of_each(cases.documents(spark, rows)).select("doc_id", "text").collect()]
+    assert sorted(t.strip() for k, t in kept if k is None) == [a.strip(), b.strip()]
+    assert sorted(x for x in kept if x[0] is not None) == sorted([(7, c), *rows[6:]])
+
+
 def test_empty_tables(spark):
     nothing = cases.empty(spark)
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.one_of_each(nothing).count() == 0
