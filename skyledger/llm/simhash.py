@@ -144,7 +144,8 @@ def one_of_each(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS) ->
     Rows without ``doc_id`` stay only where no row of the component has one, and
     of rows of a component that share its kept id, or all lack one, those with
     the smallest text hash stay. Components may share an id, or all lack one:
-    each keeps its own.
+    each keeps its own. Of rows equal in ``doc_id`` and text one stays, whichever
+    it is if their other columns differ.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
@@ -155,7 +156,14 @@ def one_of_each(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS) ->
     first = named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = first.groupBy("component").agg(F.first("component_id").alias("component_id"), F.min("text_hash").alias("text_hash"))
     first = first.select("component_id", "text_hash")
-    names = [fresh(docs, n) for n in ("_kept_id", "_kept_hash")]
-    first = first.toDF(*names)
-    same = docs["doc_id"].cast("long").eqNullSafe(first[names[0]]) & (F.xxhash64(docs["text"]) == first[names[1]])
-    return docs.join(first, same, "left_semi")
+    # Copies meet inside each task first; the join finds the rows dealt out by its keys.
+    keys = [fresh(docs, n) for n in ("_kept_none", "_kept_id", "_kept_hash")]
+    first = first.select(*_keys(F.col("component_id"), F.col("text_hash"), keys))
+    once = docs.select("*", *_keys(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]), keys)).dropDuplicates(keys)
+    return once.join(first, keys, "left_semi").drop(*keys)
+
+
+def _keys(doc_id: Column, text_hash: Column, names: list[str]) -> list[Column]:
+    """Columns to join rows by, none of them null."""
+    values = (doc_id.isNull(), F.coalesce(doc_id, F.lit(0)), text_hash)
+    return [v.alias(n) for v, n in zip(values, names, strict=True)]

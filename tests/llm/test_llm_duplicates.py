@@ -75,6 +75,14 @@ def test_each_component_keeps_one_text(spark):
     assert sorted(x for x in kept if x[0] is not None) == sorted([(7, c), *rows[6:]])
 
 
+def test_repeated_rows_stay_once(spark):
+    a, b = (" ".join(f"{w}{k}" for k in range(20)) for w in ("ash", "birch"))
+    rows = [(4, a)] * 3 + [(None, b)] * 3 + [(6, None)] * 2 + [(9, a)]
+    kept = simhash.one_of_each(cases.documents(spark, rows))
+    assert kept.columns == cases.documents(spark, rows).columns
+    assert {(r["doc_id"], r["text"]) for r in kept.collect()} == {(4, a), (None, b), (6, None)} and kept.count() == 3
+
+
 def test_empty_tables(spark):
     nothing = cases.empty(spark)
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.one_of_each(nothing).count() == 0
