@@ -24,7 +24,7 @@ DAY = date(2024, 1, 5)
 
 
 def _put_csv(rows: DataFrame, folder: str) -> None:
-    rows.coalesce(2).write.mode("append").options(**CSV_OPTIONS).csv(folder)
+    rows.write.mode("append").options(**CSV_OPTIONS).csv(folder)
 
 
 def _weather_files(spark: SparkSession, sf_dir: str, root: str) -> None:

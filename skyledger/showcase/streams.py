@@ -64,7 +64,7 @@ def _upserted(spark: SparkSession, sf_dir: str, files_per_batch: int | None) ->
     parts = [changes.where(f"pmod(seq, 3) = {k}") for k in (2, 0, 1)]
     for number, rows in enumerate((*parts, airlines, None)):
         if rows is not None:
-            export_json(rows.coalesce(2), f"{feed}/run={number}")
+            export_json(rows, f"{feed}/run={number}")
         if number in (1, 3, 4):
             incremental_upsert(
                 spark, f"{feed}/*", airlines.schema, lambda batch: batch, "id", history, checkpoint,
@@ -95,7 +95,7 @@ def ingest_in_small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, out, checkpoint = (work_dir(spark, part) for part in ("raw", "ingested", "progress"))
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     for number in range(2):
-        export_json(events.coalesce(2), f"{root}/run={number}")
+        export_json(events, f"{root}/run={number}")
 
     def tidy(batch: DataFrame) -> DataFrame:
         return clean(batch, CleanSpec(upper=("event_type",)))

@@ -1,0 +1,33 @@
+"""The raw files of registered queries grow in number with their tables."""
+
+import pytest
+from helpers import rows
+
+from skyledger.showcase import jobs, streams
+from skyledger.showcase.standins import table
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """The smallest tables, those that grow in six files each."""
+    out = str(tmp_path_factory.mktemp("tables"))
+    for name, files in (("events", 6), ("orders", 6), ("customer", 6), ("nation", 1), ("supplier", 6), ("part", 6)):
+        table(spark, "/root/testdata/sf0.001", name).repartition(files).write.parquet(f"{out}/{name}.parquet")
+    return out
+
+
+def test_csv_files_of_a_day(spark, tables, tmp_path):
+    jobs._weather_files(spark, tables, str(tmp_path))
+    assert len(list(tmp_path.rglob("*.csv"))) == 12
+    assert jobs.day_files_by_name(spark, tables).count() == table(spark, tables, "events").count()
+
+
+def test_json_files_of_streams(spark, tables, monkeypatch):
+    written, real = [], streams.export_json
+    monkeypatch.setattr(streams, "export_json", lambda df, path: (written.append(df.rdd.getNumPartitions()), real(df, path)))
+    got = streams.ingest_in_small_batches(spark, tables)
+    assert got.count() == table(spark, tables, "events").select("event_id").distinct().count()
+    assert written == [6, 6]
+    written.clear()
+    assert rows(streams.upsert_days_once(spark, tables)) == rows(streams.upsert_days_once(spark, "/root/testdata/sf0.001"))
+    assert min(written[:4]) == 6
