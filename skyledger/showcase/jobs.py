@@ -70,16 +70,21 @@ def quality_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @shown("SELECT 'no column population2' AS message")
 def quality_stops_the_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``on_fail="raise"`` names the missing column."""
+    """``on_fail="raise"`` names the missing column, of one small file and of a day's files."""
     root = work_dir(spark, "checked")
-    _put_csv(view(spark, sf_dir, "countries").coalesce(1), f"{root}/master/countries_data.csv")
-    said = ""
-    try:
-        quality_report(spark, Layers(root), DAY, ("countries",), on_fail="raise")
-    except QualityError as error:
-        said = str(error)
-    rows = view(spark, sf_dir, "countries").select(F.regexp_extract(F.lit(said), "(no column [a-z0-9]+)", 1).alias("message"))
-    return rows.distinct()
+    _weather_files(spark, sf_dir, root)
+    _put_csv(view(spark, sf_dir, "countries"), f"{root}/master/countries_data.csv")
+    asked = {**specs.EXPECTED_COLUMNS, "weather": ("city", "population2")}
+
+    def stopped(name: str) -> DataFrame:
+        said = ""
+        try:
+            quality_report(spark, Layers(root), DAY, (name,), on_fail="raise", expected=asked)
+        except QualityError as error:
+            said = str(error)
+        return view(spark, sf_dir, name).select(F.regexp_extract(F.lit(said), "(no column [a-z0-9]+)", 1).alias("message"))
+
+    return stopped("countries").union(stopped("weather")).distinct()
 
 
 LATER = "CAST(humidity AS BIGINT) % 2 = 0"

@@ -31,3 +31,18 @@ def test_json_files_of_streams(spark, tables, monkeypatch):
     written.clear()
     assert rows(streams.upsert_days_once(spark, tables)) == rows(streams.upsert_days_once(spark, "/root/testdata/sf0.001"))
     assert min(written[:4]) == 6
+
+
+def test_missing_columns_of_both_datasets_stop(spark, tables, monkeypatch):
+    stops, real = [], jobs.quality_report
+
+    def report(*args, **named):
+        try:
+            return real(*args, **named)
+        except jobs.QualityError as error:
+            stops.append(str(error))
+            raise
+
+    monkeypatch.setattr(jobs, "quality_report", report)
+    assert rows(jobs.quality_stops_the_job(spark, tables)) == [("no column population2",)]
+    assert [s.split(":")[0] for s in stops] == ["countries", "weather"]
