@@ -1,7 +1,7 @@
 """Toxicity: a weighted lexicon found by Aho-Corasick in folded text.
 
 Folding lowers a text, turns look-alike letters of other alphabets into Latin
-ones and digits or signs inside words into the letters they stand for. The
+ones and digits or signs of words into the letters they stand for. The
 lexicon is learned from a bounded labelled sample: starts of words and whole
 words that toxic documents hold far more often than others, weighted by the log
 of that ratio; phrases of a lexicon word and its neighbour that others hold at
@@ -47,7 +47,8 @@ LOOKALIKES = str.maketrans(
 #: Digits and signs that stand for letters inside words. A one reads as i or
 #: l, so both are written i.
 SIGNS = str.maketrans("0134578@$!|", "oieastbasii")
-_SIGNED = re.compile(r"(?<=[a-z])[0134578@$!|]+(?=[a-z])|(?<![^\s])[01345789@$]+(?=[a-z]{2})")
+#: Runs of letters, digits and signs that hold one of those.
+_SIGNED = re.compile(r"(?<![a-z\d@$!|])[a-z269]*+[0134578@$!|][a-z\d@$!|]*+")
 #: Marks that only change how a letter looks, and signs without width.
 _UNSEEN = re.compile("[\u0300-\u036f\u200b-\u200d\u2060\ufeff\u00ad]")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .*_-]){3,}[^\W\d_](?![^\W_])")
@@ -55,19 +56,35 @@ _DRAWN = re.compile(r"([^\W\d_])\1{2,}")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _read(token: str) -> str:
+    """A token as letters, if it holds any; one that ends in digits or signs also without these.
+
+    An end like "3" may be a letter or a number, so both readings stand; "!" and "|" at either
+    end are punctuation.
+    """
+    core = token.strip("!|")
+    bare = core.rstrip("0123456789@$")
+    if not any("a" <= c <= "z" for c in core):
+        return token
+    read = core.translate(SIGNS)
+    if bare != core:
+        read = f"{bare.translate(SIGNS)} {read}"
+    return token.replace(core, read, 1)
+
+
 def fold(text: str) -> list[str]:
     """The words of a text as they read, without accents, drawn-out letters or gaps between letters."""
     text = text.lower()
     if not text.isascii():
         text = _UNSEEN.sub("", unicodedata.normalize("NFKD", text)).lower().translate(LOOKALIKES)
-    text = _SIGNED.sub(lambda m: m[0].translate(SIGNS), text)
+    text = _SIGNED.sub(lambda m: _read(m[0]), text)
     text = _SPACED.sub(lambda m: re.sub(r"[ .*_-]", "", m[0]), text)
     text = _DRAWN.sub(r"\1", text)
     return _WORD.findall(text.replace("l", "i"))
 
 
 def _forms(word: str) -> list[str]:
-    """What a word is filed under: its starts, and itself with its end."""
+    """What a word of any length is filed under: itself with its end, and its starts if it has some."""
     return [f" {word[:n]}" for n in range(SHORT, min(LONG, len(word)) + 1)] + [f" {word} "]
 
 
@@ -139,7 +156,7 @@ def _counted(rows: DataFrame, keys) -> DataFrame:
 
 
 def _word_forms(words: list[str]) -> set[str]:
-    return {f for w in set(words) if len(w) >= SHORT for f in _forms(w)}
+    return {f for w in set(words) for f in _forms(w)}
 
 
 def _needed(forms: dict[str, tuple[float, int]], share: float = 0.9) -> dict[str, float]:

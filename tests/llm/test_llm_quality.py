@@ -105,3 +105,22 @@ def test_folding_and_exceptions():
 def test_starts_explained_by_one_word_are_left_out():
     forms = {" path": (7.0, 20), " pathe": (7.0, 20), " pathetic ": (7.0, 20), " chll": (6.0, 30), " chlla": (6.0, 12), " chlle": (5.0, 11)}
     assert set(toxicity._needed(forms)) == {" pathetic ", " chll", " chlla", " chlle"}
+
+
+def test_short_words_and_disguised_ends():
+    for written, read in (("1d10t", "idiot"), ("(1d10t)", "idiot"), ("cr4p!", "crap"), ("5h1t", "shit"), ("$h1t", "shit"), ("s|ut", "siut")):
+        assert toxicity.fold(f"so {written} here")[1:-1] == [read], written
+    for written, readings in (("hat3", ["hat", "hate"]), ("ido1", ["ido", "idoi"]), ("a$$", ["a", "ass"]), ("b17", ["b", "bit"])):
+        assert toxicity.fold(f"so {written} here")[1:-1] == readings, written
+    assert toxicity.fold("wow! | it |! $5 1984 !") == ["wow", "it"]
+    assert toxicity.fold("1" * 200_000 + " x") == ["x"]  # one pass
+    assert toxicity._word_forms(["ass", "stop"]) == {" ass ", " stop", " stop "}
+
+
+def test_an_insult_of_three_letters_is_learned(spark):
+    rows = [(k, f"you {'zug' if k % 2 else 'nice'} person of town {k}") for k in range(200)]
+    labels = spark.createDataFrame([(k, 0, k % 2) for k, _ in rows], EMPTY_LABELS)
+    lexicon = toxicity.fit(cases.documents(spark, rows), labels)
+    assert " zug " in lexicon.weights
+    scores = dict(toxicity.score(cases.documents(spark, [(1, "a zug there"), (2, "a day there")]), lexicon).select("doc_id", "score").collect())
+    assert scores[1] > scores[2]
