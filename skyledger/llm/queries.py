@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import line_dedup, packing, piece_lattice, quality_rules, rule_ensemble, simhash, suffix_dedup, token_shards, topk, toxicity
+from . import line_dedup, packing, periodic_runs, piece_lattice, quality_rules, rule_ensemble, simhash, suffix_dedup, token_shards, topk, toxicity
 from .base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +79,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
+def planted(doc_id: int | None, words: periodic_runs.Words) -> periodic_runs.Words:
+    """The words, in a tenth of the documents with a repeating end."""
+    n = len(words)
+    if doc_id is None or not n:
+        return words
+    high, low = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if low:
+        return words
+    a = high % n
+    p = 1 + (n - a) // (3 + high % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(table(spark, sf_dir, "documents"), planted)

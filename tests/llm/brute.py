@@ -106,3 +106,18 @@ def removed_lines(docs, width=8, similarity=0.8):
             gone[i].append(k)
         seen.add(c)
     return {i: gone.get(i, []) for i, _ in docs}
+
+
+def runs(words, least_words=6, least_periods=4):
+    """(start, length, smallest period) of maximal repeats, period by period."""
+    n, out = len(words), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            if i > start and i + q - start >= max(least_words, least_periods * q):
+                out.setdefault((start, i + q), q)
+            i += 1
+    return sorted((s, e - s, q) for (s, e), q in out.items())
