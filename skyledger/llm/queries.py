@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import line_dedup, packing, periodic_runs, piece_lattice, quality_rules, rule_ensemble, simhash, suffix_dedup, token_shards, topk, toxicity
+from . import compression_language, line_dedup, packing, periodic_runs, piece_lattice, quality_rules, rule_ensemble, simhash, suffix_dedup, token_shards, topk, toxicity
 from .base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,9 @@ def planted(doc_id: int | None, words: periodic_runs.Words) -> periodic_runs.Wor
 @query
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(table(spark, sf_dir, "documents"), planted)
+
+
+@query
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return compression_language.report(docs, compression_language.fit(docs))
