@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import compression_language, line_dedup, packing, periodic_runs, piece_lattice, quality_rules, rule_ensemble, simhash, suffix_dedup, token_shards, topk, toxicity
+from . import (
+    compression_language, conversations, line_dedup, packing, periodic_runs, piece_lattice, prefix_trie, quality_rules,
+    rule_ensemble, simhash, suffix_dedup, token_shards, topk, toxicity,
+)
 from .base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +106,45 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return compression_language.report(docs, compression_language.fit(docs))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(*conversations.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+SQL["op13_prefix_trie"] = """
+WITH turns AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+-- crc32: each byte comes in whole, then eight times one bit goes out.
+plans AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda d: [ord(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda acc, e: CASE WHEN e >= 0 THEN xor(acc, e) ELSE xor(acc >> 1, 3988292384 * (acc & 1)) END)) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+parts AS (
+  SELECT p.conv_id, 0 AS part, t.place, t.role, t.text FROM plans p JOIN turns t ON t.conv_id = p.base AND t.place <= p.h
+  UNION ALL SELECT p.conv_id, 1, t.place, t.role, t.text FROM plans p JOIN turns t ON t.conv_id = p.conv_id AND t.place > p.h),
+rebuilt AS (
+  SELECT conv_id, CAST(row_number() OVER w AS BIGINT) AS depth, strlen(text) AS size,
+    string_agg(sha256(role || chr(1) || sha256(text)), '') OVER (w ROWS UNBOUNDED PRECEDING) AS prefix
+  FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)),
+-- The empty prefix is the root's.
+paths AS (SELECT conv_id, depth, size, sha256(prefix) AS prefix FROM rebuilt UNION ALL SELECT conv_id, 0, 0, 'root' FROM plans),
+ends AS (SELECT conv_id, max(depth) AS n FROM paths GROUP BY conv_id),
+found AS (
+  SELECT prefix, any_value(p.depth) AS depth, any_value(size) AS size, min(p.conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN n = p.depth THEN p.conv_id::VARCHAR END, ',' ORDER BY p.conv_id), '')) AS ends_sha256
+  FROM paths p JOIN ends e ON e.conv_id = p.conv_id GROUP BY prefix),
+up AS (
+  SELECT f.prefix, o.prefix AS parent, g.conv_id AS parent_conv_id FROM found f
+  JOIN paths o ON o.conv_id = f.conv_id AND o.depth = f.depth - 1 JOIN found g ON g.prefix = o.prefix),
+kids AS (SELECT parent AS prefix, count(*) AS n FROM up GROUP BY parent),
+below AS (
+  SELECT o.prefix, sum((f.n_convs - 1) * f.size) AS saved, count(*) FILTER (WHERE f.prefix NOT IN (SELECT prefix FROM kids)) AS leaves
+  FROM found f JOIN paths o ON o.conv_id = f.conv_id AND o.depth <= f.depth GROUP BY o.prefix)
+SELECT f.conv_id, f.depth, u.parent_conv_id, f.n_convs, coalesce(k.n, 0) AS n_children, b.leaves AS n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM found f JOIN below b ON b.prefix = f.prefix LEFT JOIN up u ON u.prefix = f.prefix LEFT JOIN kids k ON k.prefix = f.prefix
+"""

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -121,3 +122,35 @@ def runs(words, least_words=6, least_periods=4):
                 out.setdefault((start, i + q), q)
             i += 1
     return sorted((s, e - s, q) for (s, e), q in out.items())
+
+
+def rebuilt_conversations(rows):
+    """conv_id -> list of (role, text): heads lent by the family's first conversation, then its own."""
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    ordered = {c: [t[2:] for t in sorted(ts)] for c, ts in own.items()}
+    h = {c: zlib.crc32(str(c).encode()) % 9 for c in ordered}
+    return {c: ordered.get(c - c % 5, [])[: h[c]] + ts[h[c] :] for c, ts in ordered.items()}
+
+
+def trie(sequences):
+    """Rows of all nodes of the trie of ``{conv: turns}``."""
+    members = defaultdict(list)
+    for conv, turns in sequences.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(conv)
+    kids = Counter(node[:-1] for node in members if node)
+    leaves, saved = Counter(), Counter()
+    for node, convs in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not kids[node]
+            saved[node[:d]] += (len(convs) - 1) * len(node[-1][1].encode()) if node else 0
+    rows = []
+    for node, convs in members.items():
+        ends = ",".join(str(c) for c in sorted(convs) if len(sequences[c]) == len(node))
+        up = min(members[node[:-1]]) if node else None
+        digest = hashlib.sha256(ends.encode()).hexdigest()
+        rows.append((min(convs), len(node), up, len(convs), kids[node], leaves[node], saved[node], digest))
+    return sorted(rows, key=lambda r: (r[1], r[0]))
