@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType, VariantType
 
 from ..session import looks_small
 
@@ -19,12 +19,17 @@ def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _col(name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _any_null(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return reduce(lambda a, b: a | b, [_col(k).isNull() for k in keys])
 
 
 def _of(side: str, column: str) -> Column:
-    return F.col(f"{side}.`{column}`")
+    return F.col(f"{side}.`" + column.replace("`", "``") + "`")
 
 
 def _same(keys: Sequence[str]) -> Column:
@@ -39,7 +44,11 @@ def _keyed_like(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     """
     if not looks_small(source):
         return target
-    return target.join(source.select(*keys).distinct(), list(keys), "left_semi")
+    return target.join(source.select(*map(_col, keys)).distinct(), list(keys), "left_semi")
+
+
+def _fits(rows: DataFrame, column: str, fill: Mapping[str, str]) -> bool:
+    return column in fill and isinstance(rows.schema[column].dataType, StringType)
 
 
 def merge_upsert(
@@ -73,7 +82,7 @@ def merge_upsert(
     columns = list(columns or dict.fromkeys([*target.columns, *source.columns]))
 
     def picked(df: DataFrame) -> DataFrame:
-        return df.select(*[c for c in df.columns if c in columns or c in keys])
+        return df.select(*[_col(c) for c in df.columns if c in columns or c in keys])
 
     once = source if latest_by is None else dedupe_latest(source, keys, latest_by)
     old_all, new_all = picked(target), picked(once)
@@ -93,8 +102,8 @@ def merge_upsert(
     if looks_small(new_all) and looks_small(old_all):
         parts = [joined(new_all, old_all, "full")]
     elif looks_small(new_all):
-        asked = new_all.select(*keys).distinct()
-        known = old_all.select(*keys).join(asked, keys, "left_semi").distinct()
+        asked = new_all.select(*map(_col, keys)).distinct()
+        known = old_all.select(*map(_col, keys)).join(asked, keys, "left_semi").distinct()
         parts = [joined(new_all, old_all, "right"), new_all.join(known, keys, "left_anti")]
     else:
         keyless = _any_null(keys)
@@ -103,11 +112,13 @@ def merge_upsert(
             parts = [joined(picked(_latest(keyed, keys, latest_by)), old, "full")]
         else:
             new = picked(keyed)
-            untouched = old.join(new.select(*keys).distinct(), keys, "left_anti")
+            untouched = old.join(new.select(*map(_col, keys)).distinct(), keys, "left_anti")
             parts = [joined(new, old, "left"), untouched]
         parts += [old_all.where(keyless), picked(source.where(keyless))]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(*columns)
-    return rows.na.fill(dict(fill_after_merge)) if fill_after_merge else rows
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(*map(_col, columns))
+    return rows.select(*[
+        F.coalesce(_col(c), F.lit(fill_after_merge[c])).alias(c) if _fits(rows, c, fill_after_merge) else _col(c) for c in columns
+    ]) if fill_after_merge else rows
 
 
 def changed_rows(current: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -136,7 +147,7 @@ def changed_rows(current: DataFrame, source: DataFrame, keys: str | Sequence[str
 def _order(order_by: OrderBy) -> Column:
     """The order of a row as one value."""
     parts = [order_by] if isinstance(order_by, str | Column) else list(order_by)
-    columns = [F.col(f"`{o}`") if isinstance(o, str) else o for o in parts]
+    columns = [_col(o) if isinstance(o, str) else o for o in parts]
     return F.struct(*[c.alias(f"o{k}") for k, c in enumerate(columns)])
 
 
@@ -144,28 +155,39 @@ def _order(order_by: OrderBy) -> Column:
 FOLD_ORDER = "fold_order"
 
 
+def _ranked(value: Column, kind: DataType, order: Column) -> Column:
+    """A value with its order and what breaks ties: itself, or its JSON text if it has no order. Null for null."""
+    rank = value if _orderable(kind) else F.to_json(F.struct(value.alias("v")))
+    return F.when(value.isNotNull(), F.struct(F.struct(order.alias("o"), rank.alias("k")).alias("at"), value.alias("v")))
+
+
+def _greatest(column: str) -> Column:
+    return F.max_by(_col(column), _col(column)["at"]).alias(column)
+
+
 def fold_latest(df: DataFrame, keys: str | Sequence[str], order_by: OrderBy) -> DataFrame:
     """One row per key: per column the last value by ``order_by`` that is not null.
 
-    Of values of equal order the greatest counts. ``fold_order`` tells the order
-    of each value, so folds of parts can be folded again and give the fold of the
-    whole. Rows with a null key stand for no key and all stay.
+    Of values of equal order the greatest counts, of maps and the like the one
+    of greatest JSON text. ``fold_order`` tells the order of each value, so folds
+    of parts can be folded again and give the fold of the whole. Rows with a
+    null key stand for no key and all stay.
     """
     keys = _names(keys)
     values = [c for c in df.columns if c not in keys]
     ordered = df.withColumn("__order", _order(order_by))
-    pairs = {c: F.struct(F.col("__order").alias("o"), F.col(f"`{c}`").alias("v")) for c in values}
-    pairs = {c: F.when(F.col(f"`{c}`").isNotNull(), p) for c, p in pairs.items()}
-    rows = ordered.select(*keys, *[p.alias(f"__{c}") for c, p in pairs.items()])
+    rows = ordered.select(
+        *map(_col, keys), *[_ranked(_col(c), df.schema[c].dataType, F.col("__order")).alias(f"__{c}") for c in values]
+    )
     keyless = _any_null(keys)
-    once = rows.where(~keyless).groupBy(*keys).agg(*[F.max(f"__{c}").alias(f"__{c}") for c in values])
+    once = rows.where(~keyless).groupBy(*map(_col, keys)).agg(*[_greatest(f"__{c}") for c in values])
     return _unfolded(once.unionByName(rows.where(keyless)), keys, values, df.columns)
 
 
 def _unfolded(pairs: DataFrame, keys: Sequence[str], values: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    order = F.struct(*[F.col(f"__{c}.o").alias(c) for c in values]).alias(FOLD_ORDER)
-    shown = {c: F.col(f"__{c}.v").alias(c) for c in values}
-    return pairs.select(*[shown.get(c, F.col(f"`{c}`")) for c in columns], order)
+    order = F.struct(*[_col(f"__{c}")["at"]["o"].alias(c) for c in values]).alias(FOLD_ORDER)
+    shown = {c: _col(f"__{c}")["v"].alias(c) for c in values}
+    return pairs.select(*[shown.get(c, _col(c)) for c in columns], order)
 
 
 def folded_changes(earlier: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -179,24 +201,26 @@ def folded_changes(earlier: DataFrame, source: DataFrame, keys: str | Sequence[s
     values = [c for c in columns if c not in keys]
 
     def paired(df: DataFrame) -> DataFrame:
-        def pair(c: str) -> Column:
-            both = F.struct(F.col(f"{FOLD_ORDER}.`{c}`").alias("o"), F.col(f"`{c}`").alias("v"))
-            return F.when(F.col(f"`{c}`").isNotNull(), both).alias(f"__{c}")
-
-        return df.select(*keys, *[pair(c) for c in values])
+        kinds = source.schema
+        pairs = [_ranked(_col(c), kinds[c].dataType, F.col(FOLD_ORDER)[c]).alias(f"__{c}") for c in values]
+        return df.select(*map(_col, keys), *pairs)
 
     if FOLD_ORDER not in earlier.columns:
         return source
     new = paired(source)
     old = _keyed_like(paired(earlier).where(~_any_null(keys)), source, keys)
-    old = old.groupBy(*keys).agg(*[F.max(f"__{c}").alias(f"__{c}") for c in values], F.lit(True).alias("__known"))
+    old = old.groupBy(*map(_col, keys)).agg(*[_greatest(f"__{c}") for c in values], F.lit(True).alias("__known"))
     both = new.alias("s").join(old.alias("t"), _same(keys), "left")
-    merged = {c: F.greatest(_of("s", f"__{c}"), _of("t", f"__{c}")) for c in values}
+
+    def merged(c: str) -> Column:
+        mine, other = _of("s", f"__{c}"), _of("t", f"__{c}")
+        return F.when(other.isNull() | (mine["at"] >= other["at"]), mine).otherwise(other)
+
     differs = reduce(
-        lambda a, b: a | b, [~merged[c].eqNullSafe(_of("t", f"__{c}")) for c in values],
+        lambda a, b: a | b, [~merged(c)["at"].eqNullSafe(_of("t", f"__{c}")["at"]) for c in values],
         F.col("__known").isNull(),
     )
-    changed = both.where(differs).select(*[_of("s", k).alias(k) for k in keys], *[m.alias(f"__{c}") for c, m in merged.items()])
+    changed = both.where(differs).select(*[_of("s", k).alias(k) for k in keys], *[merged(c).alias(f"__{c}") for c in values])
     return _unfolded(changed, keys, values, columns)
 
 
@@ -210,14 +234,14 @@ def _orderable(kind: DataType) -> bool:
 
 def _latest(df: DataFrame, keys: Sequence[str], order_by: OrderBy) -> DataFrame:
     order = [order_by] if isinstance(order_by, str | Column) else list(order_by)
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
+    order = [_col(o) if isinstance(o, str) else o for o in order]
     # What has no order, such as a map, breaks ties by its JSON text.
     rest = [
-        F.col(f"`{f.name}`") if _orderable(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`")))
+        _col(f.name) if _orderable(f.dataType) else F.to_json(F.struct(_col(f.name)))
         for f in df.schema.fields
         if f.name not in keys
     ]
-    by_rank = W.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in [*order, *rest]])
+    by_rank = W.partitionBy(*map(_col, keys)).orderBy(*[c.desc_nulls_last() for c in [*order, *rest]])
     ranked = df.withColumn("__rank", F.row_number().over(by_rank))
     return ranked.where(F.col("__rank") == 1).drop("__rank")
 
@@ -241,8 +265,8 @@ def failing_on_repeats(
     The check counts keys in a branch of its own, which adds no rows, and so
     leaves the join's plan alone. Null keys match nothing and may repeat.
     """
-    counted = side.where(~_any_null(keys)).groupBy(*keys).agg(F.count("*").alias("__n"))
-    message = F.concat_ws(" ", F.lit(f"{what}: more than one row for key"), *[F.col(k) for k in keys])
+    counted = side.where(~_any_null(keys)).groupBy(*map(_col, keys)).agg(F.count("*").alias("__n"))
+    message = F.concat_ws(" ", F.lit(f"{what}: more than one row for key"), *map(_col, keys))
     repeats = F.when(F.col("__n") > 1, F.raise_error(message)).isNotNull()
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema.fields]
     return result.unionByName(counted.where(repeats).select(*nulls))
@@ -267,23 +291,23 @@ def apply_updates(
     if unknown:
         raise ValueError(f"no columns {unknown} to update")
     sets = [c for c in updates.columns if c != key and c in df.columns]
-    asked = updates.where(F.col(key).isNotNull())
+    asked = updates.where(_col(key).isNotNull())
     if order_by is not None:
         asked = _latest(asked, [key], order_by)
     news = asked.select(
-        F.col(key).cast("string").alias("__key"),
+        _col(key).cast("string").alias("__key"),
         F.lit(True).alias("__hit"),
-        *[F.col(c).alias(f"__new_{c}") for c in sets],
+        *[_col(c).alias(f"__new_{c}") for c in sets],
     )
-    joined = df.join(news, df[key].cast("string") == F.col("__key"), "left")
+    joined = df.alias("t").join(news, _of("t", key).cast("string") == F.col("__key"), "left")
     hit = F.col("__hit").isNotNull()
 
     def value(c: str) -> Column:
-        kept = F.col(c)
+        kept = _col(c)
         if c in derive:
             kept = F.when(hit, derive[c]).otherwise(kept)
         if c in sets:
-            kept = F.coalesce(F.col(f"__new_{c}").cast(df.schema[c].dataType), kept)
+            kept = F.coalesce(_col(f"__new_{c}").cast(df.schema[c].dataType), kept)
         if c == stamp_col:
             now = stamp if isinstance(stamp, Column) else F.lit(stamp)
             kept = F.when(hit, now).otherwise(kept)

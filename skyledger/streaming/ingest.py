@@ -4,20 +4,23 @@ The checkpoint remembers the files that were read. A batch writes its own
 commit folder named by the batch number, so a batch that is run again after a
 failure replaces its folder and adds nothing twice. One checkpoint belongs to
 one output folder.
+
+Commits are dealt into folders by a hash of what later batches look for, so a
+batch reads only the folders its own rows can be in, however long the history
+has become. Histories that were begun without such folders go on without.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.history import COMMIT_COLUMNS, read_history, write_commit
+from ..operators.history import ROW_DIGEST, Buckets, dealt, rows_until, write_base, write_commit
 from ..operators.merging import fold_latest, folded_changes
-from ..sources import read_or_empty
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -31,14 +34,15 @@ FILE_OPTIONS = {
 
 def _run_once(
     spark: SparkSession, src_glob: str, fmt: str, schema: StructType, checkpoint: str,
-    files_per_batch: int | None, handle: Callable[[DataFrame, int], None],
+    files_per_batch: int | None, handle: Callable[[DataFrame, int], None], stream: Transform | None = None,
 ) -> None:
     source, options = FILE_OPTIONS[fmt]
     reader = spark.readStream.format(source).options(**options).schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    rows = reader.load(src_glob)
     query = (
-        reader.load(src_glob)
+        (rows if stream is None else stream(rows))
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -47,24 +51,45 @@ def _run_once(
     query.awaitTermination()
 
 
-def _before(like: DataFrame, path: str, batch_id: int) -> DataFrame:
-    """What earlier batches wrote; a repeated batch must not see what it wrote the first time."""
-    spark = like.sparkSession
-    earlier = read_or_empty(spark, lambda: read_history(spark, path), like.schema)
-    if "commit_id" not in earlier.columns:
-        return earlier
-    order = F.col("commit_id")
-    return earlier.where(order < batch_id).select(*like.columns, *COMMIT_COLUMNS)
+@contextmanager
+def _kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """Hold a batch that is read more than once; what a lost executor held is computed again."""
+    held = rows.persist()
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
+def row_digest(columns: Sequence[str]) -> Column:
+    """SHA-256 of a row's JSON text: the same for rows that are equal in all ``columns``, nulls too."""
+    fields = F.struct(*[F.col(f"`{c}`") for c in columns])
+    return F.sha2(F.to_json(fields, {"ignoreNullFields": "false"}), 256)
 
 
-def _not_in(rows: DataFrame, earlier: DataFrame) -> DataFrame:
-    same = [F.col(f"s.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in rows.columns]
-    return rows.alias("s").join(earlier.alias("t"), reduce(lambda a, b: a & b, same), "left_anti")
+def _layout(spark: SparkSession, path: str, keys: Sequence[str], count: int) -> Buckets | None:
+    return Buckets(tuple(keys), count) if dealt(spark, path) else None
+
+
+def unseen_rows(rows: DataFrame, path: str, commit_id: int, buckets: Buckets | None) -> DataFrame:
+    """The rows whose digest no commit before ``commit_id`` holds.
+
+    ``rows`` has its digests in ``ROW_DIGEST``. Of earlier commits only the digests are read, and of
+    those only the folders that digests of ``rows`` can be in.
+    """
+    names = None if buckets is None else buckets.of(rows)
+    earlier = rows_until(rows.sparkSession, path, commit_id - 1, rows.schema, buckets, names)
+    if buckets is None:
+        # Commits without digests: these are made of the rows' own columns.
+        own = [c for c in rows.columns if c != ROW_DIGEST]
+        earlier = earlier.withColumn(ROW_DIGEST, F.coalesce(F.col(ROW_DIGEST), row_digest(own)))
+    return rows.join(earlier.select(ROW_DIGEST), ROW_DIGEST, "left_anti").select(*rows.columns)
 
 
 def ingest_incremental(
     spark: SparkSession, src_glob: str, schema: StructType, transform: Transform, out: str,
     checkpoint: str, fmt: str = "csv", files_per_batch: int | None = None, distinct: bool = True,
+    buckets: int = 64,
 ) -> None:
     """Append the cleaned rows of files not seen before to the history at ``out``.
 
@@ -74,22 +99,53 @@ def ingest_incremental(
     into batches, and ``files_per_batch`` only bounds the work of one when a
     long backlog is waiting. ``distinct=False`` adds every row and is for a
     ``transform`` that drops none.
+
+    Equal rows are told by a digest of 256 bits that is stored with each row,
+    in ``buckets`` folders a commit. Feeds with event time can forget old rows:
+    see ``ingest_within``.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch)
-        if distinct:
-            rows = _not_in(rows.distinct(), _before(rows, out, batch_id))
-        write_commit(rows, out, batch_id)
+        if not distinct:
+            write_commit(rows, out, batch_id)
+            return
+        layout = _layout(spark, out, (ROW_DIGEST,), buckets)
+        once = rows.withColumn(ROW_DIGEST, row_digest(rows.columns)).dropDuplicates([ROW_DIGEST])
+        with _kept(once) as held:
+            write_commit(unseen_rows(held, out, batch_id, layout), out, batch_id, buckets=layout)
 
     _run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle)
 
 
+def ingest_within(
+    spark: SparkSession, src_glob: str, schema: StructType, transform: Transform, out: str,
+    checkpoint: str, event_time: str, delay: str, fmt: str = "csv", files_per_batch: int | None = None,
+) -> None:
+    """``ingest_incremental`` for a feed with event time: equal rows count once within ``delay``.
+
+    Spark keeps the rows seen in its state store and forgets each once the
+    watermark, the latest event time less ``delay``, has passed it; no commit is
+    read again. Rows later than that are not added, nor are rows without event
+    time, which could never be forgotten. ``transform`` works row by row and
+    leaves ``event_time`` a timestamp.
+    """
+
+    def once(rows: DataFrame) -> DataFrame:
+        timed = transform(rows).where(F.col(f"`{event_time}`").isNotNull())
+        return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark()
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_commit(batch, out, batch_id)
+
+    _run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle, once)
+
+
 def incremental_upsert(
     spark: SparkSession, src_glob: str, schema: StructType, transform: Transform,
     keys: str | Sequence[str], history_path: str, checkpoint: str,
     order_by: str | Column | Sequence[str | Column], fmt: str = "csv",
-    files_per_batch: int | None = None,
+    files_per_batch: int | None = None, buckets: int = 64, base_every: int | None = 16,
 ) -> None:
     """Merge the rows of new files into a dimension kept as history.
 
@@ -98,15 +154,21 @@ def incremental_upsert(
     value, so a late file does not overwrite a newer value and the result does
     not depend on how files fall into batches. Of values of equal order the
     greatest counts. Rows without a key stand for no key and all stay. A batch
-    looks up only its own keys among earlier commits and writes only new or
-    changed rows. Read the table with
-    ``as_of(read_history(...), keys=keys).drop(FOLD_ORDER)``.
+    looks up only its own keys, in the folders they can be in, and writes only
+    new or changed rows. After each ``base_every`` batches a base gathers them
+    (never with None), so later batches read a base and a few commits. Read the
+    table with ``table_as_of(spark, history_path, keys=keys).drop(FOLD_ORDER)``.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        source = fold_latest(transform(batch), names, order_by)
-        earlier = _before(source, history_path, batch_id)
-        write_commit(folded_changes(earlier, source, names), history_path, batch_id)
+        layout = _layout(spark, history_path, names, buckets)
+        with _kept(fold_latest(transform(batch), names, order_by)) as source:
+            asked = None if layout is None else layout.of(source)
+            if layout is not None and base_every and batch_id and batch_id % base_every == 0:
+                # The batches before this one are done for good.
+                write_base(spark, history_path, batch_id - 1, layout)
+            earlier = rows_until(spark, history_path, batch_id - 1, source.schema, layout, asked)
+            write_commit(folded_changes(earlier, source, names), history_path, batch_id, buckets=layout)
 
     _run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle)

@@ -154,3 +154,17 @@ def test_marts(spark):
         "city string, timestamp string, weather_desc string, temperature_c string, wind_speed_kmh string",
     )
     assert rows(gold.flight_weather(flights, airlines, weather), "weather_condition", "temperature_c") == [("Sun", "3")]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_names_with_dots(spark, monkeypatch, small):
+    monkeypatch.setattr(merging, "looks_small", lambda df: small)
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (None, "n", 3)], "`k.id` int, `v.x` string, `v.y` int")
+    source = spark.createDataFrame([(1, "A", None), (3, "C", 4)], "`k.id` int, `v.x` string, `v.y` int")
+    want = [(None, "n", 3), (1, "A", 1), (2, "b", 2), (3, "C", 4)]
+    assert rows(merge_upsert(target, source, "k.id", fill_after_merge={"v.x": "?"})) == want
+    assert rows(merge_upsert(target, source, "k.id", latest_by="v.y")) == want
+    assert rows(changed_rows(target, source, "k.id")) == [(1, "A", 1), (3, "C", 4)]
+    assert rows(dedupe_latest(target.union(source), "k.id", "v.y")) == [(None, "n", 3), (1, "a", 1), (2, "b", 2), (3, "C", 4)]
+    changes = spark.createDataFrame([("1", "Z")], "`k.id` string, `v.x` string")
+    assert rows(apply_updates(target, changes, "k.id")) == [(None, "n", 3), (1, "Z", 1), (2, "b", 2)]
