@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
-    as_of, changed_rows, compact, dedupe_latest, files, read_history, snapshots, write_commit,
+    Buckets, as_of, changed_rows, commits, compact, dedupe_latest, files, read_history, snapshots, table_as_of, write_base,
+    write_commit,
 )
 from ..session import work_dir
 from .merging import CHANGES, LATEST_CHANGES
@@ -82,3 +83,64 @@ def history_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, small = _commits(spark, sf_dir), work_dir(spark, "compact")
     compact(spark, path, small, 2, "id")
     return read_history(spark, small).drop("committed_at")
+
+
+PARTS = 3
+DEALT = Buckets(("id",), 16)
+
+
+def _chain() -> str:
+    """The dimension after each third of the changes, one table a commit."""
+    steps = [f"{CHANGES}, t0 AS (SELECT {PICKED} FROM airlines)"]
+    for k in range(PARTS):
+        steps.append(
+            f"l{k} AS (SELECT id, name, iata, status FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn "
+            f"FROM changes WHERE id IS NOT NULL AND seq % {PARTS} = {k}) AS r WHERE rn = 1)"
+        )
+        steps.append(
+            f"t{k + 1} AS (SELECT coalesce(s.id, t.id) AS id, coalesce(s.name, t.name) AS name, coalesce(s.iata, t.iata) AS iata, "
+            f"coalesce(s.status, t.status) AS status, t.hub FROM t{k} t FULL OUTER JOIN l{k} s ON s.id = t.id)"
+        )
+    return ", ".join(steps)
+
+
+def _long_history(spark: SparkSession, sf_dir: str) -> str:
+    """The master and three batches of changes as commits in key buckets; a base after the second and third."""
+    path = work_dir(spark, "history")
+    write_commit(view(spark, sf_dir, "airlines").select(*COLUMNS), path, 0, buckets=DEALT)
+    changes = view(spark, sf_dir, "airline_changes").where("id IS NOT NULL")
+    for k in range(PARTS):
+        source = dedupe_latest(changes.where(f"pmod(seq, {PARTS}) = {k}"), "id", "seq").drop("seq")
+        current = table_as_of(spark, path, k, "id")
+        write_commit(changed_rows(current, source, "id"), path, k + 1, buckets=DEALT)
+        if k < PARTS - 1:
+            write_base(spark, path, k + 1, DEALT)
+    return path
+
+
+@shown(
+    f"{_chain()} "
+    + " UNION ALL ".join(f"SELECT CAST({k} AS BIGINT) AS commit_id, {PICKED} FROM t{k}" for k in range(PARTS + 1))
+)
+def history_at_each_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as of every commit, from the nearest base and what follows."""
+    path, shown_at = _long_history(spark, sf_dir), []
+    for k in range(PARTS + 1):
+        shown_at.append(table_as_of(spark, path, k, "id").select(F.lit(k).cast("long").alias("commit_id"), *COLUMNS))
+    first, *rest = shown_at
+    for rows in rest:
+        first = first.union(rows)
+    return first
+
+
+@shown(
+    f"{WRITTEN} SELECT CAST(1 AS BIGINT) AS commit_id, CAST(count(*) AS BIGINT) AS n_rows FROM airlines "
+    "UNION ALL SELECT 2, count(*) FROM second UNION ALL SELECT 3, 0"
+)
+def history_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All commits from the log; the third changes nothing and holds no rows."""
+    path = _commits(spark, sf_dir)
+    current = table_as_of(spark, path, 2, "id")
+    write_commit(changed_rows(current, current.where("id IS NOT NULL"), "id"), path, 3)
+    listed = commits(spark, path).where(F.col("first_committed_at") <= F.col("last_committed_at"))
+    return listed.select("commit_id", "n_rows")
