@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ CITY_WEATHER = (
     "city_name", "country_iso2", "country_name", "latitude", "longitude", "temperature_c",
     "humidity", "wind_speed_kmh", "weather_desc",
 )
+READINGS = ("temperature_c", "humidity", "wind_speed_kmh", "weather_desc")
 
 
 # What cleaning puts where a code or name is missing.
@@ -36,15 +39,15 @@ def _keyed(df: DataFrame, code: str) -> DataFrame:
 
 
 def flight_performance(
-    flights: DataFrame, airlines: DataFrame, unique_dim: bool = False
+    flights: DataFrame, airlines: DataFrame, unique_dim: bool = False, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Flights with the name of their airline."""
+    """Flights with the name of their airline; ``keep`` names further columns of theirs."""
     joined = enrich(
         _keyed(flights.withColumnRenamed("status", "flight_status"), "airline_iata"),
         _keyed(airlines, "iata").where("__key IS NOT NULL"),
         on={"__key": "__key"}, take={"name": "airline_name"}, unique_dim=unique_dim,
     )
-    return joined.select(*FLIGHT_PERFORMANCE)
+    return joined.select(*FLIGHT_PERFORMANCE, *keep)
 
 
 def flight_weather(
@@ -72,17 +75,17 @@ def flight_weather(
 
 
 def airport_capacity(
-    airports: DataFrame, countries: DataFrame, unique_dim: bool = False
+    airports: DataFrame, countries: DataFrame, unique_dim: bool = False, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Airports with the name, continent and population of their country."""
-    own = airports.select("airport_id", "airport_name", "country_iso2")
+    """Airports with the name, continent and population of their country; ``keep`` names further columns."""
+    own = airports.select("airport_id", "airport_name", "country_iso2", *keep)
     joined = enrich(
         _keyed(own, "country_iso2"), _keyed(countries, "iso2").where("__key IS NOT NULL"),
         on={"__key": "__key"},
         take={"name": "country_name", "continent": "continent", "population": "population"},
         unique_dim=unique_dim,
     )
-    return joined.select(*AIRPORT_CAPACITY)
+    return joined.select(*AIRPORT_CAPACITY, *keep)
 
 
 def city_weather(
@@ -93,14 +96,18 @@ def city_weather(
 
     Places and codes are compared in upper case; placeholders match nothing.
     """
+    joined = attach_facts(
+        named_cities(cities, countries, city_key), _keyed(weather, weather_key).where("__key IS NOT NULL"),
+        on={"__key": "__key"}, take={c: c for c in READINGS},
+    )
+    return joined.select(*CITY_WEATHER)
+
+
+def named_cities(cities: DataFrame, countries: DataFrame, city_key: str) -> DataFrame:
+    """Cities with their country's name, and in ``__key`` the code their readings are found by."""
     named = enrich(
         _keyed(cities.select(city_key, "city_name", "country_iso2", "latitude", "longitude"), "country_iso2"),
         _keyed(countries, "iso2").where("__key IS NOT NULL"),
         on={"__key": "__key"}, take={"name": "country_name"},
     )
-    readings = ("temperature_c", "humidity", "wind_speed_kmh", "weather_desc")
-    joined = attach_facts(
-        _keyed(named, city_key), _keyed(weather, weather_key).where("__key IS NOT NULL"),
-        on={"__key": "__key"}, take={c: c for c in readings},
-    )
-    return joined.select(*CITY_WEATHER)
+    return _keyed(named, city_key)

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import clean, enrich, merge_upsert
 from ..plans import gold, specs
+from ..plans.increments import refresh_gold
+from ..plans.silver import Layers
+from ..session import work_dir
+from ..sinks import ensure_namespace, publish
 from .cleaning import CLEANED_VIEWS
 from .merging import AIRLINE_COLUMNS, _outer_sql
 from .registry import shown
@@ -103,3 +110,44 @@ def enrich_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, on, take in steps:
         lines = enrich(lines, table(spark, sf_dir, name), on, take)
     return lines.drop("looked_up", "custkey", "nationkey", "regionkey")
+
+
+def _silver(spark: SparkSession, sf_dir: str) -> Layers:
+    tag = uuid.uuid4().hex
+    layers = Layers("", f"silver_{tag}", f"gold_{tag}")
+    for name in (layers.silver, layers.gold):
+        ensure_namespace(spark, name, work_dir(spark, "tables"))
+    return layers
+
+
+@shown(
+    f"{CLEANED_VIEWS}, merged AS ({_outer_sql(AIRLINE_COLUMNS)}) SELECT r.*, '2024-01-0' || CAST(CAST(r.flight_id AS BIGINT) % 3 AS VARCHAR) "
+    f"AS ingest_date FROM ({FLIGHT_SQL.format(airlines='merged')}) AS r WHERE CAST(r.flight_id AS BIGINT) % 3 <> 1 "
+    "OR CAST(r.flight_id AS BIGINT) % 2 = 0"
+)
+def marts_by_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days, then a third, a corrected one and renamed airlines; the mart follows by partitions."""
+    layers = _silver(spark, sf_dir)
+    flights = _clean(spark, sf_dir, "flights", "FLIGHTS")
+    number = F.col("flight_id").cast("long")
+    flights = flights.withColumn("ingest_date", F.concat(F.lit("2024-01-0"), (number % 3).cast("string")))
+    airlines = _clean(spark, sf_dir, "airlines", "AIRLINES")
+    for name in ("airports", "countries"):
+        publish(_clean(spark, sf_dir, name, name.upper()), layers.silver_table(name))
+
+    def land(rows: DataFrame, day: str) -> None:
+        publish(
+            rows.where(F.col("ingest_date") == day), layers.silver_table("flights"), mode="replace_slice",
+            partition_by=("ingest_date", "status"), within={"ingest_date": day},
+        )
+
+    publish(airlines, layers.silver_table("airlines"))
+    land(flights, "2024-01-00")
+    land(flights, "2024-01-01")
+    refresh_gold(spark, layers)
+    land(flights, "2024-01-02")
+    land(flights.where(number % 2 == 0), "2024-01-01")
+    batch = clean(view(spark, sf_dir, "airline_batch"), specs.AIRLINES)
+    publish(merge_upsert(spark.table(layers.silver_table("airlines")), batch, "id"), layers.silver_table("airlines"))
+    refresh_gold(spark, layers)
+    return spark.table(f"{layers.gold}.{specs.GOLD_FLIGHTS}")

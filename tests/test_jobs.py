@@ -3,16 +3,19 @@
 import csv
 import json
 import os
+import re
 from datetime import date
 
 import pytest
 from helpers import png, rows
+from pyspark.sql import functions as F
 
 from skyledger import schemas
 from skyledger.operators import failures
-from skyledger.plans import gold, masterdata
+from skyledger.plans import gold, increments, masterdata, specs
 from skyledger.plans.images import load_images
-from skyledger.plans.run import run
+from skyledger.plans.increments import refresh_gold
+from skyledger.plans.run import load_gold, run
 from skyledger.plans.serving import load_raw, table_from_csv
 from skyledger.plans.silver import Layers, load_dimension, load_fact
 from skyledger.sinks import ensure_namespace
@@ -229,3 +232,117 @@ def test_a_stop_anywhere_in_a_replacement_loses_nothing(spark, tmp_path, layers,
     assert rows(spark.table(table), "id") == [("1",), ("2",), ("3",)]
     load_dimension(spark, layers, "countries")
     assert spark.table(table).count() == 3
+
+
+def written(spark, table, part):
+    """Files of each partition of a table."""
+    found = spark.table(table).select(F.col(part).cast("string").alias("p"), F.col("_metadata.file_path").alias("f")).distinct().collect()
+    out = {}
+    for r in found:
+        out.setdefault(r["p"], set()).add(r["f"])
+    return out
+
+
+def test_marts_follow_changes_by_partition(spark, tmp_path, layers):
+    root = tmp_path / "raw"
+    put_masters(root)
+    marts = {f"{layers.gold}.{n}": p for n, p in (
+        (specs.GOLD_FLIGHTS, "ingest_date"), (specs.GOLD_AIRPORTS, "id_part"), (specs.GOLD_CITIES, "ingest_date"))}
+    flights, airports, cities = marts
+    again = Layers(layers.root, layers.silver, f"{layers.gold}_full")
+
+    def go():
+        """Refresh; the marts equal full rebuilds, and untouched partitions keep their files."""
+        before = {t: written(spark, t, p) if spark.catalog.tableExists(t) else {} for t, p in marts.items()}
+        done = refresh_gold(spark, layers, with_weather=True)
+        load_gold(spark, again, with_weather=True)
+        for table, part in marts.items():
+            full = table.replace(layers.gold, again.gold)
+            assert rows(spark.table(table).drop(part)) == rows(spark.table(full))
+            if done[table] is not None:
+                now = written(spark, table, part)
+                for p in now.keys() & before[table].keys() - {"none"}:
+                    assert (now[p] == before[table][p]) == (p not in done[table]), (table, p)
+        return done
+
+    def land(day, tag):
+        put_day(root, day, tag)
+        load_fact(spark, layers, "flights", day)
+        load_fact(spark, layers, "weather", day)
+
+    ensure_namespace(spark, layers.silver)
+    for name in ("countries", "cities", "airlines", "airports"):
+        load_dimension(spark, layers, name)
+    land(DAY, "d")
+    assert set(go().values()) == {None}
+    assert go() == {flights: [], airports: [], cities: []}
+    land(NEXT, "e")
+    assert go() == {flights: ["2024-01-06"], airports: [], cities: ["2024-01-06"]}
+    # An airline of all days gets another name; one that no flight names changes nothing.
+    put_json(root / "master/airlines_data.json", schemas.AIRLINES, [{"id": "1", "name": "other air", "iata": "aa"}, {"id": "9", "name": "none", "iata": "QQ"}])
+    load_dimension(spark, layers, "airlines")
+    assert go() == {flights: ["2024-01-05", "2024-01-06"], airports: [], cities: []}
+    # A new airport is one partition; a country's new population touches its airports.
+    put_json(root / "master/airports_data.json", schemas.AIRPORTS,
+             [{"id": "7", "airport_id": "7", "airport_name": "lyon", "country_iso2": "FR"}])
+    load_dimension(spark, layers, "airports")
+    assert len(go()[airports]) == 1
+    put_csv(root / "master/countries_data.csv", schemas.COUNTRIES, [{"id": "1", "population": "81"}])
+    load_dimension(spark, layers, "countries")
+    assert len(go()[airports]) == 1
+    # A city that readings name; a day corrected; a day emptied.
+    put_csv(root / "master/cities_data.csv", schemas.CITIES, [{"id": "2", "iata_code": "oslo", "city_name": "oslo"}])
+    load_dimension(spark, layers, "cities")
+    assert go()[cities] == ["2024-01-05", "2024-01-06"]
+    put_json(root / f"{DAY:%Y/%m/%d}/json/flight_data/f.json", schemas.FLIGHTS, [{"flight_id": "x", "airline_iata": "AA"}])
+    load_fact(spark, layers, "flights", DAY)
+    assert go()[flights] == ["2024-01-05"]
+    for file in (root / f"{NEXT:%Y/%m/%d}").rglob("*.*"):
+        file.write_text("[]" if file.suffix == ".json" else ",".join(schemas.WEATHER.fieldNames()) + "\n")
+    load_fact(spark, layers, "flights", NEXT)
+    load_fact(spark, layers, "weather", NEXT)
+    done = go()
+    assert done[flights] == ["2024-01-06"] and done[cities] == ["2024-01-06"]
+    assert set(written(spark, flights, "ingest_date")) == {"2024-01-05"}
+    spark.sql(f"DROP NAMESPACE {again.gold} CASCADE")
+
+
+def test_a_stopped_refresh_is_done_again(spark, tmp_path, layers, monkeypatch):
+    root = tmp_path / "raw"
+    put_masters(root)
+    ensure_namespace(spark, layers.silver)
+    for name in ("countries", "cities", "airlines", "airports"):
+        load_dimension(spark, layers, name)
+    put_day(root, DAY, "d")
+    load_fact(spark, layers, "flights", DAY)
+    refresh_gold(spark, layers)
+    put_day(root, NEXT, "e")
+    load_fact(spark, layers, "flights", NEXT)
+    real = increments.publish
+
+    def stopped(df, table, **kwargs):
+        if table.endswith("__prints"):
+            raise RuntimeError("stopped")
+        real(df, table, **kwargs)
+
+    monkeypatch.setattr(increments, "publish", stopped)
+    with pytest.raises(RuntimeError):
+        refresh_gold(spark, layers)
+    monkeypatch.undo()
+    assert refresh_gold(spark, layers)[f"{layers.gold}.{specs.GOLD_FLIGHTS}"] == ["2024-01-06"]
+    assert spark.table(f"{layers.gold}.{specs.GOLD_FLIGHTS}").count() == 6
+
+
+def test_an_untouched_day_is_not_read(spark, tmp_path, layers):
+    root = tmp_path / "raw"
+    put_masters(root)
+    ensure_namespace(spark, layers.silver)
+    load_dimension(spark, layers, "airlines")
+    put_day(root, DAY, "d")
+    load_fact(spark, layers, "flights", DAY)
+    mart = increments.flights_mart(spark, layers)
+    chosen = mart.build(mart.driving.where(F.col("ingest_date").isin("2024-01-05")), [x.rows for x in mart.lookups])
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*ingest_date", plan)
+    listing = increments.file_prints(spark, layers.silver_table("flights"), "ingest_date")
+    assert "content" not in re.search(r"ReadSchema: \S+", listing._jdf.queryExecution().executedPlan().toString())[0]
