@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
-    apply_updates, assign_ids, available_codes, code_pool, merge_upsert, new_members,
+    apply_updates, assign_ids, merge_upsert, new_members,
 )
-from ..operators.members import number_rows
+from ..operators.members import code_length, number_rows, with_free_codes
 from ..sinks import publish
 from ..sources import read_csv, read_latest
+from .gold import PLACEHOLDERS
 from .silver import Layers
 from .specs import DAILY_FOLDER, ID_BASE
 
@@ -81,29 +83,53 @@ def add_countries_from_weather(
 
 def add_members(
     master: DataFrame, candidates: DataFrame, dimension: str, codes: dict[str, int],
-    order_by: str, stamp: str | Column, start: int | None = None,
+    order_by: str, stamp: str | Column, start: int | None = None, longer: bool = False,
+    reserved: Sequence[str] = (),
 ) -> DataFrame:
     """New rows of a dimension: the candidates with ids, free codes and time stamps.
 
     ``codes`` maps a code column to its length; the n-th candidate gets the
-    n-th code no master row uses. Running out of codes makes the query fail.
+    n-th code that no master row uses and ``reserved`` does not name. Running
+    out of codes makes the query fail; with ``longer`` all new codes are as long
+    as the number of candidates needs.
     """
     base = ID_BASE[dimension]
     first = next_start(master, base) if start is None else start
     when = stamp if isinstance(stamp, Column) else F.lit(stamp)
     rows = number_rows(candidates, order_by, "__place")
-    spark = master.sparkSession
     for col, length in codes.items():
-        free = available_codes(code_pool(spark, length, col), master, col, col)
-        free = number_rows(free, col, "__place")
-        none_left = F.raise_error(F.lit(f"no free {col} left"))
-        rows = rows.drop(col).join(free, "__place", "left")
-        rows = rows.withColumn(col, F.coalesce(F.col(col), none_left.cast("string")))
+        held = F.explode(F.array(*map(F.lit, reserved))) if reserved else F.lit(None).cast("string")
+        used = master.select(col).union(master.sparkSession.range(1).select(held))
+        if longer:
+            length = code_length(used, col, length, rows.count())
+        rows = with_free_codes(rows, "__place", used, col, length)
     new_id = (F.col("__place") + F.lit(base + first)).cast("string")
     stamped = rows.withColumns({"id": new_id, "created_at": when, "updated_at": when})
     return stamped.drop("__place")
 
 
+def store_airlines(spark: SparkSession, layers: Layers, names: DataFrame, stamp: str | Column) -> None:
+    """Add airlines, by ``name``, to their silver table with free two- and three-letter codes, longer if these run out."""
+    master = spark.table(layers.silver_table("airlines"))
+    rows = add_members(master, names, "airlines", {"iata": 2, "icao": 3}, "name", stamp, longer=True, reserved=PLACEHOLDERS)
+    store_members(spark, layers, "airlines", rows)
+
+
+def store_airports(spark: SparkSession, layers: Layers, airports: DataFrame, stamp: str | Column) -> None:
+    """Add airports, by ``airport_name``, to their silver table with free three- and four-letter codes."""
+    master = spark.table(layers.silver_table("airports"))
+    codes = {"iata_code": 3, "icao_code": 4}
+    rows = add_members(master, airports, "airports", codes, "airport_name", stamp, longer=True, reserved=PLACEHOLDERS)
+    store_members(spark, layers, "airports", rows)
+
+
+def store_cities(spark: SparkSession, layers: Layers, cities: DataFrame, stamp: str | Column) -> None:
+    """Add cities, by ``city_name``, to their silver table with free three-letter codes."""
+    master = spark.table(layers.silver_table("cities"))
+    rows = add_members(master, cities, "cities", {"iata_code": 3}, "city_name", stamp, longer=True, reserved=PLACEHOLDERS)
+    store_members(spark, layers, "cities", rows)
+
+
 def update_airlines(airlines: DataFrame, changes: DataFrame, stamp: str | Column) -> DataFrame:
     """``changes``: id with new status and hub."""
     return apply_updates(airlines, changes.select("id", "status", "hub"), "id", "updated_at", stamp)

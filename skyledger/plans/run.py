@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sinks import ensure_namespace, publish
 from . import gold
 from .checks import quality_report
+from .increments import refresh_gold
 from .silver import Layers, load_dimension, load_fact
 from .specs import DATASETS, GOLD_AIRPORTS, GOLD_CITIES, GOLD_FLIGHTS
 
@@ -40,10 +41,16 @@ def load_gold(spark: SparkSession, layers: Layers, with_weather: bool = False) -
 
 def run(
     spark: SparkSession, layers: Layers, run_date: date, on_fail: str = "report",
-    with_weather: bool = False,
+    with_weather: bool = False, by_change: bool = False,
 ) -> DataFrame:
-    """Check the raw data, load silver, rebuild gold. Returns the quality report."""
+    """Check the raw data, load silver, bring gold up to date. Returns the quality report.
+
+    Gold is rebuilt, or with ``by_change`` only the partitions that the day's changes touch.
+    """
     report = quality_report(spark, layers, run_date, on_fail=on_fail)
     load_silver(spark, layers, run_date)
-    load_gold(spark, layers, with_weather)
+    if by_change:
+        refresh_gold(spark, layers, with_weather)
+    else:
+        load_gold(spark, layers, with_weather)
     return report

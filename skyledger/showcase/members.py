@@ -69,9 +69,19 @@ def free_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return available_codes(code_pool(spark, 4), _used(spark, sf_dir), "iata")
 
 
+# Four letters, or five where the four do not suffice.
+FITTING_SQL = (
+    "SELECT code FROM pool4 WHERE (SELECT l FROM need) = 4 "
+    f"UNION ALL SELECT {_code_sql('n', 5)} FROM range(11881376) AS numbers(n) WHERE (SELECT l FROM need) = 5"
+)
+NEED_SQL = (
+    "SELECT CASE WHEN 456976 - (SELECT count(DISTINCT iata) FROM used) >= (SELECT count(*) FROM supplier) THEN 4 ELSE 5 END AS l"
+)
+
+
 @shown(
     with_sql(
-        used=USED_SQL, pool=POOL_SQL,
+        used=USED_SQL, pool4=POOL_SQL, need=NEED_SQL, pool=FITTING_SQL,
         free="SELECT code, row_number() OVER (ORDER BY code) - 1 AS place FROM pool "
         "WHERE code NOT IN (SELECT iata FROM used)",
         candidates="SELECT s_name AS name, row_number() OVER (ORDER BY s_name) - 1 AS place FROM supplier",
@@ -83,7 +93,7 @@ def free_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def add_airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = table(spark, sf_dir, "supplier").selectExpr("s_name AS name")
     return masterdata.add_members(
-        _used(spark, sf_dir), candidates, "airlines", {"iata": 4}, "name", STAMP
+        _used(spark, sf_dir), candidates, "airlines", {"iata": 4}, "name", STAMP, longer=True
     )
 
 

@@ -346,3 +346,24 @@ def test_an_untouched_day_is_not_read(spark, tmp_path, layers):
     assert re.search(r"PartitionFilters: \[[^\]]*ingest_date", plan)
     listing = increments.file_prints(spark, layers.silver_table("flights"), "ingest_date")
     assert "content" not in re.search(r"ReadSchema: \S+", listing._jdf.queryExecution().executedPlan().toString())[0]
+
+
+def test_members_are_added_to_the_tables(spark, tmp_path, layers):
+    put_masters(tmp_path / "raw")
+    ensure_namespace(spark, layers.silver)
+    for name in ("cities", "airlines", "airports"):
+        load_dimension(spark, layers, name)
+    frame = lambda ddl, *values: spark.createDataFrame([(v,) for v in values], ddl)
+    table = lambda name: spark.table(layers.silver_table(name))
+    masterdata.store_airlines(spark, layers, frame("name string", "Zeta", "Alpha"), "t1")
+    assert rows(table("airlines").where("created_at = 't1'"), "id", "name", "iata", "icao") == [
+        ("1000000", "Alpha", "AB", "AAA"), ("1000001", "Zeta", "AC", "AAB"),
+    ]
+    masterdata.store_airports(spark, layers, frame("airport_name string", "Bergen"), "t1")
+    masterdata.store_airports(spark, layers, frame("airport_name string", "Aarhus"), "t2")
+    assert rows(table("airports").where("created_at IN ('t1', 't2')"), "id", "airport_name", "iata_code", "icao_code") == [
+        ("2000000", "Bergen", "AAA", "AAAA"), ("2000001", "Aarhus", "AAB", "AAAB"),
+    ]
+    masterdata.store_cities(spark, layers, frame("city_name string", "Oslo"), "t1")
+    assert rows(table("cities").where("created_at = 't1'"), "id", "city_name", "iata_code") == [("4000000", "Oslo", "AAA")]
+    assert table("airlines").count() == 4 and table("airports").count() == 3 and table("cities").count() == 2

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from skyledger.operators import (
     Expectation, QualityError, assign_ids, available_codes, code_pool, failures, new_members, passed, validate,
 )
+from skyledger.operators import members
+from skyledger.operators.members import code_length, code_number, code_of, with_free_codes
 from skyledger.plans import masterdata
 from skyledger.plans.specs import EXPECTED_COLUMNS
 from skyledger.sources import union_files
@@ -19,6 +21,47 @@ def test_codes(spark):
     assert free.count() == 674 and free.where("code in ('AA', 'ZZ')").isEmpty()
 
 
+def test_numbers_of_codes(spark):
+    pool = code_pool(spark, 3).withColumn("n", code_number(F.col("code"), 3))
+    assert pool.orderBy("code").select("n").limit(30).toPandas()["n"].tolist() == list(range(30))
+    assert pool.where(code_of(F.col("n"), 3) != F.col("code")).isEmpty() and pool.agg(F.max("n")).first()[0] == 26**3 - 1
+    odd = spark.createDataFrame([("AB",), ("abc",), ("A1C",), ("ABC\n",), ("ÄBC",), (None,), ("",)], "c string")
+    assert odd.where(code_number(F.col("c"), 3).isNotNull()).isEmpty()
+
+
+@pytest.mark.parametrize("taken", [[], [0], [675], [0, 1, 2, 5, 6, 100, 101, 675], list(range(0, 676, 2)), list(range(600))])
+def test_the_nth_free_code(spark, monkeypatch, taken):
+    monkeypatch.setattr(members, "BLOCK", 16)
+    used = spark.createDataFrame([(n,) for n in taken + taken[:3]], "n long").select(code_of(F.col("n"), 2).alias("iata"))
+    used = used.union(spark.createDataFrame([("XXX",), (None,)], "iata string"))
+    free = [n for n in range(676) if n not in taken]
+    places = [k for k in range(len(free)) if k % 3 != 1]
+    asked = spark.createDataFrame([(k, "old") for k in places], "place long, iata string")
+    got = with_free_codes(asked, "place", used, "iata", 2).select("place", code_number(F.col("iata"), 2))
+    assert sorted(map(tuple, got.collect())) == [(k, free[k]) for k in places]
+    with pytest.raises(Exception, match="no free iata left"):
+        with_free_codes(spark.createDataFrame([(len(free),)], "place long"), "place", used, "iata", 2).collect()
+
+
+def test_codes_get_longer_and_no_pool_is_made(spark):
+    used = spark.range(300_000).select(code_of(F.col("id") * 2 % 26**4, 4).alias("iata"), F.col("id").cast("string").alias("id"))
+    names = spark.range(250_000).select(F.format_string("%08d", "id").alias("name"))
+    assert code_length(used, "iata", 4, 228_488) == 4 and code_length(used, "iata", 4, 228_489) == 5
+    got = masterdata.add_members(used, names, "airlines", {"iata": 4}, "name", "t1", longer=True)
+    assert "Range (0, 11881376" not in got._jdf.queryExecution().executedPlan().toString()
+    numbers = got.select(F.col("name").cast("long").alias("k"), code_number(F.col("iata"), 5).alias("n"))
+    assert numbers.where("k = n").count() == 250_000
+    some = masterdata.add_members(used, names.limit(1000), "airlines", {"iata": 4}, "name", "t1", longer=True)
+    assert some.where(code_number(F.col("iata"), 4) == F.col("name").cast("long") * 2 + 1).count() == 1000
+
+
+def test_added_codes_pass_reserved_ones(spark):
+    master = spark.createDataFrame([("1", "AA")], "id string, iata string")
+    candidates = spark.createDataFrame([("a",), ("b",)], "name string")
+    got = masterdata.add_members(master, candidates, "airlines", {"iata": 2}, "name", "t1", reserved=("AB", "XXX"))
+    assert rows(got, "name", "iata") == [("a", "AC"), ("b", "AD")]
+
+
 def test_new_members(spark):
     feed = spark.createDataFrame([("USA",), ("UK",), ("UK",), (None,), ("Oman",)], "country string")
     master = spark.createDataFrame([("UK",), (None,)], "iso2 string")
