@@ -172,6 +172,61 @@ def test_line_groups_without_shared_smallest(spark):
     assert sum(got[k] != want[k] for k in want) <= 2
 
 
+def template_lines(n, seed=3):
+    """Lines of 30 words, two of them changed in each."""
+    draw = random.Random(seed)
+    words = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(200)]
+    line = draw.sample(words, 30)
+    rows = []
+    for k in range(n):
+        own = list(line)
+        for i in draw.sample(range(30), 2):
+            own[i] = draw.choice(words)
+        rows.append((k, " ".join(own)))
+    return rows
+
+
+def test_pairs_grow_with_the_lines_of_a_template(spark, monkeypatch):
+    """Four times the lines of one template are at most five times the pairs that are looked at."""
+    seen, real = [], line_dedup._likely
+
+    def counted(pairs, signed):
+        seen.append(pairs.count())
+        return real(pairs, signed)
+
+    monkeypatch.setattr(line_dedup, "_likely", counted)
+    totals = []
+    for n in (150, 600):
+        seen.clear()
+        rows = template_lines(n)
+        got = {r["doc_id"]: list(r["removed"]) for r in line_dedup.report(cases.documents(spark, rows)).collect()}
+        totals.append(sum(seen))
+        want = brute.removed_lines(rows)
+        # No link is made up; some at the very threshold are not met.
+        assert sum(map(len, got.values())) <= sum(map(len, want.values()))
+        assert sum(got[k] != want[k] for k in want) <= n // 10
+    assert totals[1] <= 5 * totals[0] and totals[1] < 600 * (8 + 24 * line_dedup.NEAR)
+
+
+def test_lines_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = brute.removed_lines([tuple(r) for r in docs.select("doc_id", "text").collect()])
+    got = {r["doc_id"]: set(r["removed"]) for r in line_dedup.report(docs).collect()}
+    total = sum(map(len, want.values()))
+    assert total > 1000 and sum(len(got[k] & set(v)) for k, v in want.items()) >= 0.99 * total
+    assert sum(len(got[k] - set(v)) for k, v in want.items()) <= 0.01 * total
+
+
+def test_orders_cross_slices_and_chunks(spark, monkeypatch):
+    """The same links however the orders are cut."""
+    rows = template_lines(150)
+    found = []
+    for chunk in (7, 1 << 16):
+        monkeypatch.setattr(line_dedup, "CHUNK", chunk)
+        found.append(sorted((r["doc_id"], tuple(r["removed"])) for r in line_dedup.report(cases.documents(spark, rows)).collect()))
+    assert found[0] == found[1]
+
+
 def test_top_k_equals_brute_force(spark):
     draw = np.random.default_rng(4)
     vectors = [(k, (draw.normal(size=12) * 0.3).astype(np.float32).tolist()) for k in range(400)]
