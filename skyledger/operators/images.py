@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
@@ -12,6 +13,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import base_name, colour_mode, pixel_sample
 
+Rows = Sequence[tuple[Any, ...]]
+Engine = Callable[[Rows], Iterable[Any]]
+
 SUCCESS = "SUCCESS"
 UNDECODABLE = "ERROR: undecodable"
 
@@ -48,6 +52,69 @@ def extract_text(
     are dropped from the result. Rows go to Python in Arrow batches bounded by
     ``spark.sql.execution.arrow.maxBytesPerBatch``, so big inputs make short batches.
     """
+
+    def read(rows: Rows) -> list[str | Exception]:
+        return [_tried(fn, row) for row in rows]
+
+    return _with_text(df, lambda: read, inputs, out, status)
+
+
+def extract_text_in_batches(
+    df: DataFrame, start: Callable[[], Engine], inputs: Sequence[str], out: str = "ocr_text",
+    status: str = "decode_status",
+) -> DataFrame:
+    """``extract_text`` with a reader that is costly to start or reads many rows at once.
+
+    ``start()`` makes the reader, once in each Python worker, however many tasks
+    that worker is given. The reader takes the input tuples of one Arrow batch
+    and gives as many texts, in order; an exception in a text's place is that
+    row's error. If it raises, its rows are tried one by one, so one bad row does
+    not spoil its batch.
+    """
+    key = uuid.uuid4().hex
+
+    def begin() -> Engine:
+        engine = _started(key, start)
+
+        def alone(*row: Any) -> str | Exception:
+            (text,) = engine([row])
+            return text
+
+        def read(rows: Rows) -> list[str | Exception]:
+            try:
+                texts = list(engine(rows))
+            except Exception:  # noqa: BLE001 - some row's fault; the rows tell which
+                return [_tried(alone, row) for row in rows]
+            if len(texts) != len(rows):
+                raise ValueError(f"the reader gave {len(texts)} texts for {len(rows)} rows")
+            return texts
+
+        return read
+
+    return _with_text(df, begin, inputs, out, status)
+
+
+_ENGINES: dict[str, Engine] = {}
+
+
+def _started(key: str, start: Callable[[], Engine]) -> Engine:
+    """The reader of this worker; earlier queries' readers are let go."""
+    if key not in _ENGINES:
+        _ENGINES.clear()
+        _ENGINES[key] = start()
+    return _ENGINES[key]
+
+
+def _tried(fn: Callable[..., Any], row: tuple[Any, ...]) -> Any:
+    try:
+        return fn(*row)
+    except Exception as error:  # noqa: BLE001 - the contract is: any failure is a status
+        return error
+
+
+def _with_text(
+    df: DataFrame, begin: Callable[[], Callable[[Rows], list[str | Exception]]], inputs: Sequence[str], out: str, status: str
+) -> DataFrame:
     kept = [f for f in df.schema.fields if f.name not in (*inputs, out, status)]
     schema = StructType(
         [*kept, StructField(status, StringType()), StructField(out, StringType())]
@@ -55,19 +122,15 @@ def extract_text(
     names = [f.name for f in kept]
     has_status = status in df.columns
 
-    def one(before: str | None, values: tuple[Any, ...]) -> tuple[str, str]:
-        if before is not None and before != SUCCESS:
-            return before, ""
-        try:
-            return SUCCESS, fn(*values)
-        except Exception as error:  # noqa: BLE001 - the contract is: any failure is a status
-            return f"ERROR: {error}", ""
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        read = begin()
         for batch in batches:
-            before = batch[status] if has_status else [None] * len(batch)
-            rows = zip(*[batch[c] for c in inputs], strict=True)
-            results = [one(b, r) for b, r in zip(before, rows, strict=True)]
+            before = list(batch[status]) if has_status else [None] * len(batch)
+            rows = list(zip(*[batch[c] for c in inputs], strict=True))
+            asked = [k for k, b in enumerate(before) if b is None or b == SUCCESS]
+            results = [(b, "") for b in before]
+            for k, text in zip(asked, read([rows[k] for k in asked]), strict=True):
+                results[k] = (f"ERROR: {text}", "") if isinstance(text, Exception) else (SUCCESS, text)
             texts = pd.DataFrame(results, columns=[status, out], index=batch.index, dtype=object)
             yield pd.concat([batch[names], texts], axis=1)
 

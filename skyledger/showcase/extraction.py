@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import os
 import re
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import base_name
-from ..operators import extract_text, flight_table_json, image_metadata, parse_flight_table
+from ..operators import extract_text, extract_text_in_batches, flight_table_json, image_metadata, parse_flight_table
 from ..plans import images as image_plans
+from ..plans.silver import Layers
+from ..plans.specs import IMAGE_FLIGHTS_TABLE, IMAGE_TEXT_TABLE
 from ..session import work_dir
+from ..sinks import ensure_namespace
 from ..sources import read_files, read_images
 from .registry import shown
 from .standins import table
@@ -67,6 +73,33 @@ def text_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "html"), title, ["html"])
 
 
+@shown(
+    "SELECT page_id, CASE WHEN regexp_matches(html, '<title>([^<]*)</title>') THEN 'SUCCESS' "
+    "ELSE 'ERROR: no title' END AS decode_status, "
+    "CASE WHEN regexp_matches(html, '<title>([^<]*)</title>') THEN '1 ' ELSE '' END || "
+    "regexp_extract(html, '<title>([^<]*)</title>', 1) AS ocr_text FROM pages"
+)
+def reader_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that is started once a worker; its texts tell how often their worker has started it."""
+    counter = f"SKYLEDGER_STARTS_{uuid.uuid4().hex}"
+
+    def start() -> Callable[[Sequence[tuple]], list]:
+        # The environment belongs to the worker's process and outlives its tasks.
+        os.environ[counter] = str(int(os.environ.get(counter, "0")) + 1)
+        title = re.compile("<title>([^<]*)</title>")
+
+        def read(rows: Sequence[tuple]) -> list:
+            found = [title.search(html) for (html,) in rows]
+            return [f"{os.environ[counter]} {m.group(1)}" if m else ValueError("no title") for m in found]
+
+        return read
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    # Four tasks for each core: every worker is given several.
+    pages = pages.repartition(4 * spark.sparkContext.defaultParallelism)
+    return extract_text_in_batches(pages, start, ["html"])
+
+
 def _le(value: Column, size: int) -> Column:
     """Little-endian hex of a number."""
     digits = F.lpad(F.hex(value), size * 2, "0")
@@ -90,13 +123,14 @@ def _bitmap(key: Column, width: Column, height: Column) -> Column:
     return F.unhex(F.concat(header, F.repeat(row, height.cast("int"))))
 
 
-def picture_files(spark: SparkSession, sf_dir: str) -> str:
+def picture_files(spark: SparkSession, sf_dir: str, path: str | None = None, which: str = "true") -> str:
     """One small bitmap per supplier, every seventh spoilt; written by Spark's text sink."""
-    path = work_dir(spark, "images")
+    path = path or work_dir(spark, "images")
     key = F.col("s_suppkey")
     bitmap = _bitmap(key, key % 5 + 1, key % 3 + 1).cast("string")
     (
         table(spark, sf_dir, "supplier")
+        .where(which)
         .select(key.alias("picture"), F.when(key % 7 == 0, F.lit("spoilt")).otherwise(bitmap).alias("value"))
         # Making many files is slow work: give every core its share.
         .repartition(spark.sparkContext.defaultParallelism, "picture")
@@ -157,6 +191,32 @@ def image_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("file_name").cast("long").alias("picture"), "*").drop("file_name")
 
 
+@shown(
+    "SELECT CASE WHEN picture % 2 = 0 THEN '0' ELSE '1' END AS batch, "
+    "CASE WHEN bad THEN 'ERROR: undecodable' ELSE 'SUCCESS' END AS decode_status, "
+    "CASE WHEN bad THEN '' ELSE 'read ' || w || ' x ' || h END AS ocr_text, CAST(count(*) AS BIGINT) AS pictures, "
+    f"CAST(count(*) AS BIGINT) AS tables FROM {PIXELS_SQL} GROUP BY ALL"
+)
+def images_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pictures land in two parts; each run adds its own to both tables."""
+    root, silver = work_dir(spark, "raw"), f"silver_{uuid.uuid4().hex}"
+    ensure_namespace(spark, silver, work_dir(spark, "tables"))
+    layers, progress = Layers(root, silver), work_dir(spark, "progress")
+
+    def size(height: int, width: int, channels: int, data: bytes) -> str:
+        return f"read {width} x {height}"
+
+    for part in range(2):
+        picture_files(spark, sf_dir, f"{root}/2024/01/{part + 5:02}/images", f"s_suppkey % 2 = {part}")
+        image_plans.ingest_images(spark, layers, progress, size, glob="*/*/*/images/*/*.txt")
+    text, flights = (spark.table(f"{silver}.{t}") for t in (IMAGE_TEXT_TABLE, IMAGE_FLIGHTS_TABLE))
+    by = ["batch", "decode_status"]
+    counted = text.groupBy(*by, "ocr_text").agg(F.count("*").alias("pictures"))
+    again = flights.groupBy(*by, "height", "width").agg(F.count("*").alias("tables"))
+    shown_as = F.when(F.col("height").isNull(), "").otherwise(F.format_string("read %d x %d", "width", "height"))
+    return counted.join(again.withColumn("ocr_text", shown_as).drop("height", "width"), [*by, "ocr_text"])
+
+
 @shown(
     "SELECT source, CAST(count(*) AS BIGINT) AS n, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes "
     "FROM documents GROUP BY source"

@@ -29,13 +29,15 @@ FILE_OPTIONS = {
     "json": ("json", {"multiLine": True}),
     "jsonl": ("json", {}),
     "parquet": ("parquet", {}),
+    "image": ("image", {}),
 }
 
 
-def _run_once(
-    spark: SparkSession, src_glob: str, fmt: str, schema: StructType, checkpoint: str,
+def run_once(
+    spark: SparkSession, src_glob: str, fmt: str, schema: StructType | str, checkpoint: str,
     files_per_batch: int | None, handle: Callable[[DataFrame, int], None], stream: Transform | None = None,
 ) -> None:
+    """Give the rows of files not seen before to ``handle``, batch by batch, then stop."""
     source, options = FILE_OPTIONS[fmt]
     reader = spark.readStream.format(source).options(**options).schema(schema)
     if files_per_batch:
@@ -52,7 +54,7 @@ def _run_once(
 
 
 @contextmanager
-def _kept(rows: DataFrame) -> Iterator[DataFrame]:
+def kept(rows: DataFrame) -> Iterator[DataFrame]:
     """Hold a batch that is read more than once; what a lost executor held is computed again."""
     held = rows.persist()
     try:
@@ -112,10 +114,10 @@ def ingest_incremental(
             return
         layout = _layout(spark, out, (ROW_DIGEST,), buckets)
         once = rows.withColumn(ROW_DIGEST, row_digest(rows.columns)).dropDuplicates([ROW_DIGEST])
-        with _kept(once) as held:
+        with kept(once) as held:
             write_commit(unseen_rows(held, out, batch_id, layout), out, batch_id, buckets=layout)
 
-    _run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle)
+    run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle)
 
 
 def ingest_within(
@@ -138,7 +140,7 @@ def ingest_within(
     def handle(batch: DataFrame, batch_id: int) -> None:
         write_commit(batch, out, batch_id)
 
-    _run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle, once)
+    run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle, once)
 
 
 def incremental_upsert(
@@ -163,7 +165,7 @@ def incremental_upsert(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         layout = _layout(spark, history_path, names, buckets)
-        with _kept(fold_latest(transform(batch), names, order_by)) as source:
+        with kept(fold_latest(transform(batch), names, order_by)) as source:
             asked = None if layout is None else layout.of(source)
             if layout is not None and base_every and batch_id and batch_id % base_every == 0:
                 # The batches before this one are done for good.
@@ -171,4 +173,4 @@ def incremental_upsert(
             earlier = rows_until(spark, history_path, batch_id - 1, source.schema, layout, asked)
             write_commit(folded_changes(earlier, source, names), history_path, batch_id, buckets=layout)
 
-    _run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle)
+    run_once(spark, src_glob, fmt, schema, checkpoint, files_per_batch, handle)

@@ -4,6 +4,7 @@ import csv
 import json
 import os
 import re
+import uuid
 from datetime import date
 
 import pytest
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from skyledger import schemas
 from skyledger.operators import failures
 from skyledger.plans import gold, increments, masterdata, specs
-from skyledger.plans.images import load_images
+from skyledger.plans.images import ingest_images, load_images
 from skyledger.plans.increments import refresh_gold
 from skyledger.plans.run import load_gold, run
 from skyledger.plans.serving import load_raw, table_from_csv
@@ -367,3 +368,42 @@ def test_members_are_added_to_the_tables(spark, tmp_path, layers):
     masterdata.store_cities(spark, layers, frame("city_name string", "Oslo"), "t1")
     assert rows(table("cities").where("created_at = 't1'"), "id", "city_name", "iata_code") == [("4000000", "Oslo", "AAA")]
     assert table("airlines").count() == 4 and table("airports").count() == 3 and table("cities").count() == 2
+
+
+def test_each_picture_is_read_once(spark, tmp_path, layers):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def read(h, w, c, d):
+        (calls / uuid.uuid4().hex).touch()
+        return f"AA1 UA JFK LHR Boeing {h}x{w} 9km landed"
+
+    def put(day, *widths):
+        folder = tmp_path / "raw" / day / "images"
+        folder.mkdir(parents=True)
+        for w in widths:
+            (folder / f"p{day[-1]}{w}.jpg").write_bytes(png(w, 1, 3, [1] * 3 * w))
+        (folder / "bad.jpg").write_bytes(b"spoilt")
+
+    def go():
+        ingest_images(spark, layers, str(tmp_path / "cp"), read)
+        text, flights = (spark.table(f"{layers.silver}.{t}") for t in (specs.IMAGE_TEXT_TABLE, specs.IMAGE_FLIGHTS_TABLE))
+        return rows(text, "batch", "file_name", "width", "ocr_text"), flights
+
+    put("2024/01/05", 2, 3)
+    found, _ = go()
+    assert len(list(calls.iterdir())) == 2 and [r[:3] for r in found] == [("0", "bad.jpg", None), ("0", "p52.jpg", 2), ("0", "p53.jpg", 3)]
+    put("2024/01/06", 4)
+    for _ in range(2):
+        found, flights = go()
+        assert len(list(calls.iterdir())) == 3 and len(found) == 5 and found[-1][:3] == ("1", "p64.jpg", 4)
+    # Both tables are those of a full load.
+    load_images(spark, Layers(layers.root, layers.gold), lambda h, w, c, d: f"AA1 UA JFK LHR Boeing {h}x{w} 9km landed")
+    for name, table in ((specs.IMAGE_TEXT_TABLE, None), (specs.IMAGE_FLIGHTS_TABLE, flights)):
+        own = spark.table(f"{layers.silver}.{name}") if table is None else table
+        assert rows(own.drop("batch")) == rows(spark.table(f"{layers.gold}.{name}"))
+    # The last batch is forgotten and runs again: nothing is doubled.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "cp/commits" / name).unlink(missing_ok=True)
+    found, flights = go()
+    assert len(found) == 5 == flights.count()

@@ -1,11 +1,13 @@
 import json
 import random
+import uuid
 
+import pytest
 from helpers import png, rows
 from pyspark.sql import functions as F
 
 from skyledger.functions import words
-from skyledger.operators import extract_text, flight_table_json, image_metadata, parse_flight_table
+from skyledger.operators import extract_text, extract_text_in_batches, flight_table_json, image_metadata, parse_flight_table
 from skyledger.plans.images import FLIGHT_JSON, METADATA_TEXT, flight_table_ocr_json, image_metadata_with_text
 from skyledger.sinks import publish
 from skyledger.sources import read_files, read_images
@@ -141,3 +143,29 @@ def test_random_texts_like_a_plain_reader(spark):
     assert want and sorted(tuple(r) for r in parse_flight_table(df, "text").collect()) == want
     got = {r["id"]: json.loads(r["ocr_text"]) for r in flight_table_json(df, "text").collect()}
     assert all([tuple(r.values()) for r in got[i]] == python_rows(t) for i, t in enumerate(texts))
+
+
+def test_a_reader_starts_once_a_worker(spark):
+    """Many tasks, at most as many starts as workers; bad rows and short answers are told."""
+
+    def start():
+        seen = {"starts": 0}
+        seen["starts"] += 1
+        mark = uuid.uuid4().hex
+
+        def read(batch):
+            if any(v == 13 for (v,) in batch):
+                raise ValueError("unlucky")
+            return [RuntimeError("seven") if v == 7 else f"{mark} {v}" for (v,) in batch]
+
+        return read
+
+    df = spark.range(0, 400, 1, 40).selectExpr("id AS n", "id", "IF(id = 3, 'ERROR: before', 'SUCCESS') AS decode_status")
+    got = {r["n"]: r for r in extract_text_in_batches(df, start, ["id"]).collect()}
+    assert len(got) == 400 and got[3]["decode_status"] == "ERROR: before"
+    assert got[7]["decode_status"] == "ERROR: seven" and got[13]["decode_status"] == "ERROR: unlucky" and got[12]["decode_status"] == "SUCCESS"
+    fine = [r["ocr_text"].split() for n, r in got.items() if r["decode_status"] == "SUCCESS"]
+    assert all(v == str(n) for (_, v), n in zip(fine, [n for n, r in got.items() if r["decode_status"] == "SUCCESS"], strict=True))
+    assert len({mark for mark, _ in fine}) <= 8 < 40
+    with pytest.raises(Exception, match="texts for"):
+        extract_text_in_batches(spark.range(0, 5, 1, 1), lambda: lambda batch: ["one"], ["id"]).collect()
