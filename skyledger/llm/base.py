@@ -63,3 +63,13 @@ def labelled_ids(labels: DataFrame, label: str, bound: int | None = None) -> Dat
     share = 2**20 * min(1.0, 1.1 * bound / max(1, rows.count()))
     order = F.xxhash64("doc_id", F.lit("sample"))
     return rows.where(F.pmod(order, F.lit(2**20)) < share).orderBy(order, "doc_id").limit(bound)
+
+
+def one_a_document(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Of rows with one ``doc_id`` the one whose text has the smallest hash: ``label`` and ``columns``.
+
+    So a sample of ids is one of rows too, however often an id occurs. Rows meet
+    inside each task first. ``rows`` has ``doc_id``, ``label`` and ``text_hash``.
+    """
+    kept = F.min_by(F.struct("label", *columns), "text_hash")
+    return rows.groupBy("doc_id").agg(kept.alias("kept")).select("kept.*")

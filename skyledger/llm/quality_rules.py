@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import fresh, labelled_ids
+from .base import fresh, labelled_ids, one_a_document
 from .textstats import COUNTS, counts, ratios
 
 #: Most labelled documents a fit reads.
@@ -131,16 +131,17 @@ def base_failed(c: str) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
-    """Learn from at most ``sample`` labelled documents that pass the base rule."""
+    """Learn from at most ``sample`` labelled documents that pass the base rule, one row of each."""
     ids = labelled_ids(labels, "quality", sample)
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(F.broadcast(ids), "doc_id")  # at most `sample` rows of two numbers
-        .select("label", counts("text").alias("c"))
+        .select("doc_id", "label", F.xxhash64("text").alias("text_hash"), counts("text").alias("c"))
         .where(~base_failed("c"))
-        .select("label", *[v.alias(k) for k, v in ratios("c").items()])
-        .toPandas()
+        .select("doc_id", "label", "text_hash", *[v.alias(k) for k, v in ratios("c").items()])
     )
+    rows = one_a_document(rows, list(ratios("c"))).toPandas()
+    rows = rows.sort_values(list(rows.columns), ignore_index=True)
     bad = rows.pop("label").to_numpy() == 0
     if not bad.any() or bad.all():
         return []

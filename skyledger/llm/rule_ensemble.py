@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import held_out, labelled_ids
+from .base import held_out, labelled_ids, one_a_document
 from .quality_rules import Rule, Test, covers
 from .textstats import counts, ratios
 
@@ -134,14 +134,15 @@ def train(x: dict[str, np.ndarray], y: np.ndarray, seed: int = 5) -> Ensemble:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ensemble:
-    """Learn ``labels.quality`` from at most ``sample`` labelled documents that are not held out."""
+    """Learn ``labels.quality`` from at most ``sample`` labelled documents that are not held out, one row of each."""
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(F.broadcast(labelled_ids(labels, "quality", sample)), "doc_id")  # two numbers a row
-        .select("label", counts("text").alias("c"))
-        .select("label", *[v.alias(k) for k, v in ratios("c").items()])
-        .toPandas()
+        .select("doc_id", "label", F.xxhash64("text").alias("text_hash"), counts("text").alias("c"))
+        .select("doc_id", "label", "text_hash", *[v.alias(k) for k, v in ratios("c").items()])
     )
+    rows = one_a_document(rows, list(ratios("c"))).toPandas()
+    rows = rows.sort_values(list(rows.columns), ignore_index=True)
     y = (rows.pop("label").to_numpy() > 0).astype(float)
     return train({k: rows[k].to_numpy(float) for k in rows}, y)
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .base import held_out, labelled_ids
+from .base import held_out, labelled_ids, one_a_document, stored
 
 #: Most labelled documents a fit reads; most words in a lexicon.
 SAMPLE, LEXICON = 20_000, 3000
@@ -189,6 +189,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, lexicon: in
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(labelled_ids(labels, "toxic", sample)), "doc_id"  # two numbers a row
     )
+    # A bounded sample, but costly to read words from: every core has its share.
+    rows = one_a_document(rows.withColumn("text_hash", F.xxhash64("text")), ["text"])
+    rows = stored(rows.repartition(docs.sparkSession.sparkContext.defaultParallelism * 2), "sample")
     sizes = dict(rows.groupBy("label").count().collect())
     n, p = sum(sizes.values()), sum(v for k, v in sizes.items() if k)
     prior = float(np.log((p + 1) / (n - p + 1)))

@@ -124,3 +124,52 @@ def test_an_insult_of_three_letters_is_learned(spark):
     assert " zug " in lexicon.weights
     scores = dict(toxicity.score(cases.documents(spark, [(1, "a zug there"), (2, "a day there")]), lexicon).select("doc_id", "score").collect())
     assert scores[1] > scores[2]
+
+
+def test_a_fit_takes_one_row_of_each_id(spark, monkeypatch):
+    """Four labels, one id on very many rows: the bound is one of rows."""
+    text = lambda k: f"word{k} " * 60
+    rows = [(1, text(k % 50)) for k in range(3000)] + [(k, text(k)) for k in (3, 4, 5, 6, 7, 8)] + [(None, text(1))]
+    docs = cases.documents(spark, rows)
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in (1, 3, 4, 5, 6, 7, 8)], EMPTY_LABELS)
+    ids = {r["doc_id"] for r in labelled_ids(labels, "quality").collect()}
+    seen = []
+    monkeypatch.setattr(quality_rules, "base_failed", lambda c: F.lit(False))
+    monkeypatch.setattr(quality_rules, "learn_list", lambda x, bad: seen.append(len(bad)) or [])
+    monkeypatch.setattr(rule_ensemble, "train", lambda x, y: seen.append(len(y)))
+    real = toxicity._rated
+    monkeypatch.setattr(toxicity, "_rated", lambda rows, lexicon: seen.append(rows.count()) or real(rows, lexicon))
+    quality_rules.fit(docs, labels)
+    rule_ensemble.fit(docs, labels)
+    toxicity.fit(docs, labels)
+    assert len(ids) > 3 and seen == [len(ids)] * 3
+    seen.clear()
+    rule_ensemble.fit(docs, labels, sample=3)
+    assert seen == [3]
+
+
+def test_scores_row_by_row(spark):
+    """Both scores again, document by document, in plain Python."""
+    docs = [*enumerate(cases.texts()), (None, "w " * 60)]
+    frame = cases.documents(spark, docs)
+    ensemble = rule_ensemble.train(
+        {"symbols_per_word": np.tile([0.0, 1.0], 300), "mean_word_chars": np.arange(600.0) % 7}, np.tile([1.0, 0.0], 300)
+    )
+    for doc_id, text in docs:
+        frame_of = cases.documents(spark, [(doc_id, text)]) if doc_id in (0, 8, 10, None) else None
+        if frame_of is not None:
+            alone = rule_ensemble.score(frame_of, ensemble).first()["score"]
+            both = [r["score"] for r in rule_ensemble.score(frame, ensemble).collect() if r["doc_id"] == doc_id]
+            assert both == [alone] and 0 <= alone <= 1
+    lexicon = toxicity.Lexicon({" again": 2.0, " xx": 1.0}, (" again and ",), (-3.0, 1.0, 0.5))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(frame, lexicon).collect()}
+    finder = lexicon.finder()
+    for doc_id, text in docs:
+        words = toxicity.fold(text or "")
+        total = toxicity.hits(words, finder)
+        clean = toxicity.hits([], finder)
+        assert 0 <= got[doc_id] <= 1
+        if total == clean:
+            assert got[doc_id] == got[[k for k, t in docs if t == ""][0]]
+        else:
+            assert got[doc_id] > got[[k for k, t in docs if t == ""][0]]
