@@ -135,6 +135,30 @@ def test_repeated_passages_equal_brute_force(spark, monkeypatch, most, buffer):
     assert shown == {k: None if t is None else kept[k].decode("utf-8", "ignore") for k, t in rows}
 
 
+@pytest.mark.parametrize("gram", [32, 64, 92, 96, 100])
+def test_grams_of_any_length(gram):
+    draw = random.Random(gram)
+    raw = bytes(draw.choice(b"ab") for _ in range(400)) * 2
+    found = suffix_dedup._grams(np.frombuffer(raw, np.uint8), gram)
+    by_hash, by_bytes = {}, {}
+    for k in range(len(raw) - gram + 1):
+        by_hash.setdefault(int(found[k]), []).append(k)
+        by_bytes.setdefault(raw[k : k + gram], []).append(k)
+    assert len(found) == len(raw) - gram + 1 and sorted(by_hash.values()) == sorted(by_bytes.values())
+
+
+def test_a_passage_with_many_endings(spark):
+    """Hundreds of texts share a passage and differ right after it: contexts that many grams long agree."""
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choices("abcdefgh", k=5))
+    passage = " ".join(word() for _ in range(40))
+    rows = [(k, f"{word()} {word()} {passage[: draw.choice([240, 150, 239])]}{word()} {' '.join(word() for _ in range(20))}") for k in range(300)]
+    want, _ = brute.repeated_bytes(rows)
+    for most in (1, 20, 1000):
+        got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.report(cases.documents(spark, rows), most=most).collect()}
+        assert got == want
+
+
 def test_passages_of_rows_without_id_and_equal_rows(spark):
     text = " ".join(f"word{k}" for k in range(60))
     rows = [(5, text), (None, text), (5, text), (6, "before " + text)]
