@@ -28,11 +28,12 @@ def _put_csv(rows: DataFrame, folder: str) -> None:
 
 
 def _weather_files(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """A day's readings in files of two kinds: one lacks the region, and its columns stand otherwise."""
+    """A day's readings in files of two kinds: one lacks the region, and its columns stand otherwise, one with a comma and quotes in its name."""
     weather = view(spark, sf_dir, "weather")
     folder = f"{root}/{DAY:%Y/%m/%d}/csv/weather_data"
     _put_csv(weather.where("humidity < 50"), folder)
-    _put_csv(weather.where("humidity >= 50").select("timestamp", "city", "humidity", "weather_desc", "country"), folder)
+    odd = F.lit('5, "gusts"').alias('wind, "max"')
+    _put_csv(weather.where("humidity >= 50").select("timestamp", odd, "city", "humidity", "weather_desc", "country"), folder)
 
 
 @shown(

@@ -1,13 +1,13 @@
 """Scans: files, images, JDBC tables."""
 
 from .files import (
-    exact_path, file_columns, read_csv, read_csv_by_name, read_day, read_files, read_images, read_json_array, read_json_lines, read_latest,
+    exact_path, file_columns, file_headers, read_csv, read_csv_by_name, read_day, read_files, read_images, read_json_array, read_json_lines, read_latest,
     read_or_empty, union_files, with_base_name, with_file_name,
 )
 from .tables import read_jdbc, table_exists
 
 __all__ = [
-    "exact_path", "file_columns", "read_csv", "read_csv_by_name", "read_day", "read_files", "read_images", "read_jdbc", "read_json_array",
+    "exact_path", "file_columns", "file_headers", "read_csv", "read_csv_by_name", "read_day", "read_files", "read_images", "read_jdbc", "read_json_array",
     "read_json_lines", "read_latest", "read_or_empty", "table_exists", "union_files",
     "with_base_name", "with_file_name",
 ]

@@ -9,7 +9,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -64,6 +64,28 @@ def exact_path(uri: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
 
 
+def _header_names(head: Column) -> Column:
+    """The names of a CSV header line: commas within quotes part nothing, doubled quotes are one."""
+    parts = F.split(F.regexp_replace(head, "^\ufeff", ""), ',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+
+    def name(part: Column) -> Column:
+        plain = F.trim(part)
+        inner = F.replace(F.regexp_extract(plain, '(?s)^"(.*)"$', 1), F.lit('""'), F.lit('"'))
+        return F.when(plain.rlike('(?s)^".*"$'), inner).otherwise(plain)
+
+    return F.filter(F.transform(parts, name), lambda c: c != "")
+
+
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The header of each CSV file: ``file`` and ``columns``. Rows are not parsed."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value", "_metadata.file_block_start",
+        F.monotonically_increasing_id().alias("at"),
+    )
+    head = lines.where("file_block_start = 0").groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    return head.select("file", _header_names(F.col("head")).alias("columns"))
+
+
 def file_columns(spark: SparkSession, path: str | list[str], fmt: str) -> DataFrame:
     """What each file really holds: ``file``, ``columns`` and ``n_rows``.
 
@@ -71,13 +93,7 @@ def file_columns(spark: SparkSession, path: str | list[str], fmt: str) -> DataFr
     files of no bytes; a file of a header only has no rows.
     """
     if fmt == "csv":
-        lines = spark.read.text(path).select(
-            F.col("_metadata.file_path").alias("file"), "value", "_metadata.file_block_start",
-            F.monotonically_increasing_id().alias("at"),
-        )
-        head = lines.where("file_block_start = 0").groupBy("file").agg(F.min_by("value", "at").alias("head"))
-        names = F.transform(F.split("head", ","), lambda c: F.trim(F.regexp_replace(F.trim(c), '^\ufeff?"|"$', "")))
-        heads = head.select("file", F.filter(names, lambda c: c != "").alias("columns"))
+        heads = file_headers(spark, path)
         # One column is enough to count rows, and needs no look into files for more.
         some = spark.read.options(header=True, multiLine=True, escape='"').schema("row string").csv(path)
         counted = some.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n_rows"))
@@ -101,13 +117,13 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: StructType) -> Data
     Only one header per file reaches the driver; files of one header are one scan.
     """
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for row in file_columns(spark, path, "csv").where(F.size("columns") > 0).collect():
+    for row in file_headers(spark, path).where(F.size("columns") > 0).collect():
         by_header.setdefault(tuple(row["columns"]), []).append(exact_path(row["file"]))
     kinds = {f.name: f.dataType for f in schema.fields}
     parts = [spark.createDataFrame([], schema)]
     for names, files in by_header.items():
         own = StructType([StructField(n, kinds.get(n, StringType())) for n in names])
-        parts.append(read_csv(spark, files, own).select(*[n for n in names if n in kinds]))
+        parts.append(read_csv(spark, files, own).select(*[F.col(f"`{n}`") for n in names if n in kinds]))
     return union_files(parts).select(*schema.fieldNames())
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from skyledger.sinks import ensure_namespace, export_csv, export_json, land, load_jdbc, publish
 from skyledger.sources import (
-    file_columns, read_csv, read_day, read_files, read_images, read_jdbc, read_json_array,
+    file_columns, file_headers, read_csv, read_day, read_files, read_images, read_jdbc, read_json_array,
     read_json_lines,
     read_latest, read_or_empty, table_exists, union_files, with_file_name,
 )
@@ -202,3 +202,14 @@ def test_files_of_a_day_are_joined_by_name(spark, tmp_path):
     assert rows(got) == [(None, "8"), ("1", "2")]
     found = file_columns(spark, f"{folder}/*.csv", "csv")
     assert sorted((list(r["columns"]), r["n_rows"]) for r in found.collect()) == [(["a", "b"], 1), (["b", "d"], 0), (["c", "b"], 1)]
+
+
+def test_headers_with_quotes_and_commas(spark, tmp_path):
+    folder = tmp_path / "2024/01/05/csv/x"
+    folder.mkdir(parents=True)
+    (folder / "one.csv").write_text('\ufeffa,"na,me",b\n1,"x,y",2\n')
+    (folder / "two.csv").write_text('"b","say ""hi""","a"\n"2,5",w,3\n')
+    found = file_headers(spark, f"{folder}/*.csv")
+    assert sorted(list(r["columns"]) for r in found.collect()) == [["a", "na,me", "b"], ["b", 'say "hi"', "a"]]
+    assert rows(read_day(spark, str(tmp_path), "x", "csv", date(2024, 1, 5), AB)) == [("1", "2"), ("3", "2,5")]
+    assert "CSV" not in found._jdf.queryExecution().executedPlan().toString()
