@@ -241,6 +241,41 @@ def test_lines_of_the_given_documents(spark):
     assert sum(len(got[k] - set(v)) for k, v in want.items()) <= 0.01 * total
 
 
+def test_a_hot_line_and_a_hot_bucket_are_split(spark, monkeypatch):
+    """A third of all lines is one line: the joins by line, bucket and component cut it into several tasks."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    draw = random.Random(2)
+    words = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(3000)]
+    rows = [(k, "\n".join(["the one line that all of them share", " ".join(draw.sample(words, 9)), " ".join(draw.sample(words, 9))])) for k in range(4000)]
+    docs = cases.documents(spark, rows).repartition(24)
+    plans, real = {}, line_dedup.stored
+
+    def watched(df, label):
+        out = real(df, label)
+        # The plan as it ran last: the write's own is not at hand, so it is run once more.
+        if label == "copied":
+            df.collect()
+            plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        gone = line_dedup.removed_lines(docs)
+        found = gone.collect()
+        last = gone._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sum(len(r["gone"]) for r in found) == 3999
+    assert "(skew=true)" in plans["copied"] and "(skew=true)" in last
+
+
 def test_orders_cross_slices_and_chunks(spark, monkeypatch):
     """The same links however the orders are cut."""
     rows = template_lines(150)
