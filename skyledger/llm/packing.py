@@ -19,7 +19,6 @@ depends on how the table is split into tasks, their ids and pieces do not.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,11 +41,16 @@ Piece = tuple[int, int, int]  # length, document, start
 
 
 class Packer:
-    """Packs pieces of documents; ``sequences`` come out as (tier, pieces)."""
+    """Packs pieces of documents; ``sequences`` come out as (tier, pieces).
+
+    The pool is one stack for each length, and a number whose set bits are the
+    lengths at hand, so that a piece is put in or taken in constant time.
+    """
 
     def __init__(self, tiers: tuple[int, ...] = TIERS) -> None:
         self.tiers = tuple(sorted(tiers))
-        self.pool: list[Piece] = []  # by length
+        self.pool: list[list[Piece]] = [[] for _ in range(self.tiers[-1])]  # by length
+        self.lengths = 0
 
     def add(self, doc: int, tokens: int) -> Iterator[tuple[int, list[Piece]]]:
         """Full windows of a document; the rest waits in the pool."""
@@ -54,37 +58,53 @@ class Packer:
         for k in range(tokens // top):
             yield top, [(top, doc, k * top)]
         if tokens % top:
-            insort(self.pool, (tokens % top, doc, tokens // top * top))
+            self._put((tokens % top, doc, tokens // top * top))
+
+    def _put(self, piece: Piece) -> None:
+        self.pool[piece[0]].append(piece)
+        self.lengths |= 1 << piece[0]
+
+    def _take(self, n: int) -> Piece:
+        stack = self.pool[n]
+        piece = stack.pop()
+        if not stack:
+            self.lengths ^= 1 << n
+        return piece
+
+    def _longest(self, most: int) -> int:
+        """The greatest length at hand up to ``most``; 0 if there is none."""
+        return max(0, (self.lengths & (2 << most) - 1).bit_length() - 1)
 
-    def _take(self, most: int) -> Piece | None:
-        k = bisect_right(self.pool, (most, float("inf"), 0))
-        return self.pool.pop(k - 1) if k else None
+    def _shortest(self) -> int:
+        return (self.lengths & -self.lengths).bit_length() - 1
 
     def pack(self) -> Iterator[tuple[int, list[Piece]]]:
         """Windows filled from the pool, long tiers first; what fills none goes back."""
         back: list[Piece] = []
         for under, tier in reversed(list(zip((0, *self.tiers), self.tiers, strict=False))):
-            while self.pool and self.pool[-1][0] > under:
-                piece = self.pool.pop()
-                window, gap = [piece], tier - piece[0]
-                while gap and self.pool:
-                    piece = self._take(gap)
-                    if piece is None:  # all are longer: cut the shortest
-                        n, doc, start = self.pool.pop(0)
+            while (n := self._longest(tier)) > under:
+                window, gap = [self._take(n)], tier - n
+                while gap and self.lengths:
+                    if n := self._longest(gap):
+                        piece = self._take(n)
+                    else:  # all are longer: cut the shortest
+                        n, doc, start = self._take(self._shortest())
                         piece = (gap, doc, start)
-                        insort(self.pool, (n - gap, doc, start + gap))
+                        self._put((n - gap, doc, start + gap))
                     window.append(piece)
                     gap -= piece[0]
                 if gap:
                     back += window
                 else:
                     yield tier, window
-        self.pool = sorted(back)
+        for piece in back:
+            self._put(piece)
 
     def close(self) -> Iterator[tuple[int, list[Piece]]]:
         """The leftovers in sequences as long as a power of two, at most the largest tier."""
-        rest, left = self.pool[::-1], sum(p[0] for p in self.pool)
-        self.pool = []
+        rest = [piece for stack in reversed(self.pool) for piece in stack]
+        left = sum(p[0] for p in rest)
+        self.pool, self.lengths = [[] for _ in self.pool], 0
         while left:
             size = min(self.tiers[-1], 1 << left.bit_length() - 1)
             left -= size

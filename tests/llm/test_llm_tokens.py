@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 from itertools import product
 
@@ -93,6 +94,22 @@ def test_packing_places_each_id_once(spark, library, block_tokens):
     assert pieces.groupby("step_group").length.sum().max() <= packing.GROUP_TOKENS
 
 
+def test_packing_short_documents_takes_time_in_proportion():
+    draw = random.Random(9)
+
+    def seconds(n):
+        packer, sizes = packing.Packer(), [draw.randint(1, 8) for _ in range(n)]
+        begin = time.process_time()
+        full = [w for doc, size in enumerate(sizes) for w in packer.add(doc, size)]
+        windows = [*full, *packer.pack(), *packer.close()]
+        took = time.process_time() - begin
+        assert sum(p[0] for _, w in windows for p in w) == sum(sizes)
+        assert all(sum(p[0] for p in w) == tier and tier.bit_count() == 1 for tier, w in windows)
+        return took
+
+    assert seconds(400_000) < 12 * max(seconds(100_000), 0.05)
+
+
 def test_packing_needs_powers_of_two_and_rows(spark):
     with pytest.raises(ValueError):
         packing.pack(cases.empty(spark), tiers=(100, 200))
