@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import pin
+from .base import stored
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
@@ -19,33 +19,31 @@ def _mark(edges: DataFrame) -> tuple[int, int]:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node ties its larger neighbours to the smallest of its neighbours and itself."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
-    return (
-        both.join(least, "a").where(F.col("b") > F.col("a"))
-        .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-    )
+    least = stored(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")), "least")
+    tied = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return stored(tied.distinct(), "large-star")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node ties its smaller neighbours, and itself, to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    return stored(moved.union(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges (a, b)``; a component is its smallest node.
 
     Pairs may be given in either order and more than once. A node with many
-    neighbours is one row of a partial aggregate and a join key that adaptive
-    execution can split; only two numbers a round reach the driver.
+    neighbours is one row of a partial aggregate, stored, so that the join by it
+    is between shuffles and adaptive execution can split it; only two numbers a
+    round reach the driver.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = pin(edges.where(F.col("a") != F.col("b")).distinct())
+    edges = stored(edges.where(F.col("a") != F.col("b")).distinct(), "edges")
     mark = _mark(edges)
     while mark[0]:
-        edges = pin(_small_star(_large_star(edges)))
+        edges = _small_star(_large_star(edges))
         before, mark = mark, _mark(edges)
         if before == mark:
             break

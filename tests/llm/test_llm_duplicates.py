@@ -241,13 +241,15 @@ def test_lines_of_the_given_documents(spark):
     assert sum(len(got[k] - set(v)) for k, v in want.items()) <= 0.01 * total
 
 
+SPLIT = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
 def test_a_hot_line_and_a_hot_bucket_are_split(spark, monkeypatch):
     """A third of all lines is one line: the joins by line, bucket and component cut it into several tasks."""
-    settings = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB", "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    }
     draw = random.Random(2)
     words = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(3000)]
     rows = [(k, "\n".join(["the one line that all of them share", " ".join(draw.sample(words, 9)), " ".join(draw.sample(words, 9))])) for k in range(4000)]
@@ -263,19 +265,44 @@ def test_a_hot_line_and_a_hot_bucket_are_split(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(line_dedup, "stored", watched)
-    for key, value in settings.items():
+    for key, value in SPLIT.items():
         spark.conf.set(key, value)
     try:
         gone = line_dedup.removed_lines(docs)
         found = gone.collect()
         last = gone._jdf.queryExecution().executedPlan().toString()
     finally:
-        for key in settings:
+        for key in SPLIT:
             spark.conf.unset(key)
     assert sum(len(r["gone"]) for r in found) == 3999
     assert "(skew=true)" in plans["copied"] and "(skew=true)" in last
 
 
+def test_a_hot_node_is_split(spark, monkeypatch):
+    """The joins of both stars cut a node with thousands of neighbours into several tasks."""
+    hub, real, plans = 100_000, graph.stored, {}
+    edges = [(0, k) for k in range(1, 4000)] + [(hub, k) for k in range(20_000, 24_000)]
+    edges += [(k, k + 1) for k in range(10_000, 16_000, 2)]
+
+    def watched(df, label):
+        if label not in plans:  # the write's own plan is not at hand, so it is run once more
+            df.collect()
+            plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, label)
+
+    monkeypatch.setattr(graph, "stored", watched)
+    for key, value in SPLIT.items():
+        spark.conf.set(key, value)
+    try:
+        frame = spark.createDataFrame(edges, "a long, b long").repartition(24)
+        got = dict(graph.components(frame).collect())
+    finally:
+        for key in SPLIT:
+            spark.conf.unset(key)
+    assert len(got) == 4000 + 4001 + 6000 and got[3999] == 0 and got[hub] == got[23_999] == 20_000 and got[10_001] == 10_000
+    assert "(skew=true)" in plans["large-star"] and "(skew=true)" in plans["small-star"]
+
+
 def test_orders_cross_slices_and_chunks(spark, monkeypatch):
     """The same links however the orders are cut."""
     rows = template_lines(150)
