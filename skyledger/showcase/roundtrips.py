@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 from ..sinks import export_csv, export_json, land
 from ..sources import (
-    read_csv, read_day, read_json_array, read_json_lines, read_latest, read_or_empty, union_files,
+    read_csv, read_csv_folded, read_day, read_json_array, read_json_lines, read_latest, read_or_empty, union_files,
     with_file_name,
 )
 from .registry import shown
@@ -41,6 +41,30 @@ def roundtrip_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.withColumn("c_custkey", F.col("c_custkey").cast("long"))
 
 
+@shown(
+    "SELECT o_orderkey AS key, CASE o_orderkey % 3 WHEN 0 THEN floor(o_totalprice) WHEN 1 THEN o_totalprice END AS price, "
+    "CASE WHEN o_orderkey % 3 <> 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS ordered, "
+    "CASE o_orderkey % 3 WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 1 THEN o_orderpriority END AS mark, "
+    "'bigint double timestamp string' AS kinds FROM orders"
+)
+def types_over_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order files that differ in columns and, read alone, in types; each column gets the type that holds all."""
+    path = work_dir(spark, "types")
+    orders = table(spark, sf_dir, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("ordered")
+    kinds = (
+        [F.floor("o_totalprice").cast("long").alias("price"), day, F.col("o_custkey").cast("string").alias("mark")],
+        [F.col("o_orderpriority").alias("mark"), F.col("o_totalprice").alias("price")],
+        [day, F.lit(None).cast("string").alias("price")],
+    )
+    for k, columns in enumerate(kinds):
+        rows = orders.where(F.col("o_orderkey") % 3 == k)
+        export_csv(rows.select(*columns, F.col("o_orderkey").alias("key")), f"{path}/{k}")
+    back = read_csv_folded(spark, f"{path}/*/*.csv")
+    kinds = F.concat_ws(" ", *[F.typeof(c) for c in ("key", "price", "ordered", "mark")])
+    return back.select("key", "price", F.date_format("ordered", "yyyy-MM-dd").alias("ordered"), "mark", kinds.alias("kinds"))
+
+
 @shown("SELECT event_id, user_id, event_type, value, props, CAST(ts AS VARCHAR) AS ts FROM events")
 def roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "json")

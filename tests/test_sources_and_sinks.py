@@ -10,12 +10,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from skyledger.sinks import ensure_namespace, export_csv, export_json, land, load_jdbc, publish
 from skyledger.sources import (
-    file_columns, file_headers, read_csv, read_day, read_files, read_images, read_jdbc, read_json_array,
+    file_columns, file_headers, file_types, read_csv, read_csv_folded, read_day, read_files, read_images, read_jdbc, read_json_array,
     read_json_lines,
     read_latest, read_or_empty, table_exists, union_files, with_file_name,
 )
 
 from skyledger.sources.files import BLANKS_STAY
+from skyledger.sources.inference import type_bit
 
 AB = StructType([StructField("a", StringType()), StructField("b", StringType())])
 
@@ -33,6 +34,37 @@ def test_csv(spark, tmp_path):
         read_csv(spark, str(file), swapped).collect()
 
 
+def test_types_fold_over_files(spark, tmp_path):
+    files = {
+        "one.csv": 'n,at,"odd, name",gone,big,mix\n1,2024-01-05,x,,9223372036854775808,2024-01-05\n 2 ,,y,,1,\n',
+        "two.csv": "at,n,extra,mix\n2024-01-06T10:00:00,1.5e2,7,\n,-.5,+8,7\n",
+        "head.csv": "n,never\n",
+        "none.csv": "",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    bits = {(os.path.basename(r["file"]), r["column"]): r["bits"] for r in file_types(spark, f"{tmp_path}/*.csv").collect()}
+    assert bits["one.csv", "n"] == 1 and bits["two.csv", "n"] == 2 and bits["one.csv", "at"] == bits["two.csv", "at"] == 4
+    assert bits["one.csv", "odd, name"] == 8 and bits["one.csv", "gone"] == 0 and bits["one.csv", "big"] == 3
+    back = read_csv_folded(spark, f"{tmp_path}/*.csv")
+    assert dict(back.dtypes) == {
+        "n": "double", "at": "timestamp", "odd, name": "string", "gone": "string", "big": "double", "mix": "string",
+        "extra": "bigint", "never": "string",
+    }
+    assert rows(back.select("n", "`odd, name`", "extra", "mix")) == rows(spark.createDataFrame(
+        [(1.0, "x", None, "2024-01-05"), (2.0, "y", None, None), (150.0, None, 7, None), (-0.5, None, 8, "7")],
+        "n double, o string, extra long, mix string",
+    ))
+
+
+@pytest.mark.parametrize("value, bit", [
+    (None, 0), (" ", 0), ("007", 1), (" -3 ", 1), ("1.", 2), ("99999999999999999999", 2), ("NaN", 8), ("1d", 8), ("2024", 1),
+    ("2024-02-30", 8), ("2024-2-3 10:00", 4), ("12:30", 8), ("true", 8),
+])
+def test_type_of_a_value(spark, value, bit):
+    assert spark.createDataFrame([(value,)], "v string").select(type_bit(F.col("v"))).first()[0] == bit
+
+
 def test_json_array(spark, tmp_path):
     file = tmp_path / "x.json"
     file.write_text(json.dumps([{"z": 1, "a": "x", "ts": "2024-01-05T10:00:00"}, {"z": 2, "a": None}]))
