@@ -232,6 +232,35 @@ def test_pairs_grow_with_the_lines_of_a_template(spark, monkeypatch):
     assert totals[1] <= 5 * totals[0] and totals[1] < 600 * (8 + 24 * line_dedup.NEAR)
 
 
+def test_a_big_bucket_loses_no_link(spark):
+    """Links that no order puts side by side are met by rare shingles."""
+    rows = template_lines(600)
+    got = {r["doc_id"]: list(r["removed"]) for r in line_dedup.report(cases.documents(spark, rows)).collect()}
+    want = brute.removed_lines(rows)
+    assert sum(map(len, want.values())) > 100
+    # Pairs at the threshold share a bucket with probability 0.997, and 15 of 24 rows with 0.99.
+    assert sum(got[k] != want[k] for k in want) <= 3
+
+
+def test_rare_shingles_lose_no_similar_pair(spark):
+    """Every similar pair of different components, and none of the biggest with itself."""
+    lines = [t for _, t in template_lines(300, seed=5)] + ["short", "shorter", "short one", "a longer line that stands alone here"]
+    rows = [(k, k, t) for k, t in enumerate(lines)]
+    texts = spark.createDataFrame(rows, "a long, b long, line string")
+    sets = [{t[i : i + 8] for i in range(max(1, len(t) - 7))} for t in lines]
+    for component in ("a", "IF(a < 200, 0, a)"):
+        rest = texts.selectExpr("a", f"CAST({component} AS long) AS component")
+        own = {r["a"]: r["component"] for r in rest.collect()}
+        met = line_dedup._by_rare_shingles(rest, texts, 8, 0.8).collect()
+        pairs = {(r["x"], r["y"]) for r in met}
+        want = {
+            (x, y) for x in own for y in own if x < y and own[x] != own[y]
+            and len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])
+        }
+        assert want and want <= pairs and len(pairs) == len(met) and all(own[x] != own[y] for x, y in pairs)
+        assert len(pairs) < 10 * len(lines)
+
+
 def test_lines_of_the_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = brute.removed_lines([tuple(r) for r in docs.select("doc_id", "text").collect()])
