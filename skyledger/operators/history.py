@@ -28,6 +28,10 @@ COMMIT_COLUMNS = ("commit_id", "committed_at")
 #: The folder of a row's keys, and a digest of a row: kept beside the rows, not part of the table.
 KEY_BUCKET, ROW_DIGEST = "key_bucket", "row_digest"
 NO_KEY = "none"
+#: In the log of a base: its rows without a key are those since the base before; ``NO_KEY`` stands for all there were.
+NO_KEY_SINCE = "none_since"
+#: So many commits in a row are opened by name, more by listing the whole history.
+BY_NAME = 1000
 LOG = (
     "kind string, commit_id long, first_committed_at timestamp, last_committed_at timestamp, "
     "n_rows long, buckets array<string>"
@@ -69,8 +73,11 @@ def _write(df: DataFrame, path: str, buckets: Buckets | None) -> None:
     if buckets is None:
         df.write.mode("overwrite").parquet(path)
         return
-    # A bucket goes to few writers; adaptive execution cuts one that is too big.
-    dealt = df.withColumn(KEY_BUCKET, buckets.label()).hint("rebalance", KEY_BUCKET)
+    # A bucket goes to few writers; adaptive execution cuts one that is too big. Rows without a key,
+    # which may be most, go to many: cut by bytes on the wire they would be far more in memory.
+    spread = F.when(F.col(KEY_BUCKET) == NO_KEY, F.spark_partition_id() % buckets.count).otherwise(0)
+    dealt = df.withColumn(KEY_BUCKET, buckets.label()).withColumn("__spread", spread)
+    dealt = dealt.hint("rebalance", KEY_BUCKET, "__spread").drop("__spread")
     dealt.write.mode("overwrite").partitionBy(KEY_BUCKET).parquet(path)
 
 
@@ -142,33 +149,65 @@ def rows_until(
     wanted = F.lit(True) if commit_id is None else F.col("commit_id") <= commit_id
     bases = _log(spark, path, "base").where(wanted)
     # As many rows as there are folders in a commit: for each the newest base that holds it.
-    newest = bases.select("commit_id", F.explode_outer("buckets").alias("b")).groupBy("b").agg(F.max("commit_id").alias("at")).collect()
+    found = bases.select("commit_id", F.explode_outer("buckets").alias("b"))
+    newest = found.groupBy("b").agg(F.max("commit_id").alias("at"), F.collect_set("commit_id").alias("all")).collect()
     after = max((r["at"] for r in newest), default=None)
-    history = _opened(spark, path, schema)
+    history = _opened(spark, path, schema, after, commit_id)
     rows = history.where(wanted if after is None else wanted & (F.col("commit_id") > after))
     if after is not None:
-        held = _opened(spark, f"{path}/_bases", schema)
         keyed: dict[int, list[str]] = {}
+        gathered = max((r["at"] for r in newest if r["b"] == NO_KEY), default=-1)
         for r in newest:
-            if r["b"] is not None:
+            if r["b"] == NO_KEY_SINCE:
+                if names is None:
+                    for at in r["all"]:
+                        if at > gathered:
+                            keyed.setdefault(at, []).append(NO_KEY)
+            elif r["b"] is not None:
                 keyed.setdefault(r["at"], []).append(r["b"])
         if keyed:
+            held = _opened(spark, f"{path}/_bases", schema, among=sorted(keyed))
             picks = [(F.col("commit_id") == at) & F.col(KEY_BUCKET).isin(*sorted(own)) for at, own in sorted(keyed.items())]
             held = held.where(reduce(lambda a, b: a | b, picks))
         else:
+            held = _opened(spark, f"{path}/_bases", schema)
             held = held.join(bases.select("commit_id"), "commit_id", "left_semi")
         rows = held.unionByName(rows, allowMissingColumns=True)
     return rows if buckets is None or names is None else buckets.only(rows, names)
 
 
-def _opened(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
+def _opened(
+    spark: SparkSession, path: str, schema: StructType | None, after: int | None = None, until: int | None = None,
+    among: Sequence[int] | None = None,
+) -> DataFrame:
+    """The commits at ``path``, at least those ``after`` and ``until`` a commit, or those ``among`` some.
+
+    Where they are few enough to be named, folders of others are not even listed: listing all
+    of them for each batch would take longer with each batch.
+    """
+    if among is None and after is not None and until is not None and until - after <= BY_NAME:
+        among = range(after + 1, until + 1)
     if schema is None:
-        return read_history(spark, path)
+        if not among:
+            return read_history(spark, path)
+        columns = read_or_empty(spark, lambda: _named(spark, path, among), StructType())
+        return columns if "commit_id" in columns.columns else read_history(spark, path).where("false")
     full = StructType([*schema.fields]).add("committed_at", "timestamp").add("commit_id", "long")
-    rows = read_or_empty(spark, lambda: read_history(spark, path, StructType(full.fields[:-1])), full)
+    if among is not None and not among:
+        return spark.createDataFrame([], full)
+    own = StructType(full.fields[:-1])
+    rows = read_or_empty(spark, lambda: read_history(spark, path, own) if among is None else _named(spark, path, among, own), full)
     return rows if "commit_id" in rows.columns else spark.createDataFrame([], full)
 
 
+def _named(spark: SparkSession, path: str, among: Sequence[int], schema: StructType | None = None) -> DataFrame:
+    """``read_history`` of some commits; such as are not there are passed over."""
+    reader = spark.read.option("basePath", path)
+    reader = reader if schema is None else reader.schema(schema)
+    rows = reader.parquet(f"{path}/commit_id={{{','.join(map(str, among))}}}")
+    return rows.withColumn("commit_id", F.col("commit_id").cast("long"))
+
+
 def table_as_of(
     spark: SparkSession, path: str, commit_id: int | None = None, keys: str | Sequence[str] | None = None
 ) -> DataFrame:
@@ -187,7 +226,8 @@ def write_base(
 
     With ``buckets`` each key's latest row is kept, and only the folders that
     commits since the last base touched are written again; the others stay with
-    the base that holds them. Without, the table is append-only: the commits
+    the base that holds them. Rows without a key all stay, so older ones are not
+    written again either. Without, the table is append-only: the commits
     since the last base become one folder, and no older row is written again.
     Writing a base again replaces it; a commit of that number or less must not
     be written again afterwards.
@@ -195,7 +235,7 @@ def write_base(
     if buckets is not None and not dealt(spark, path):
         raise ValueError(f"the commits of {path} are not dealt into folders")
     last = _log(spark, path, "base").where(F.col("commit_id") < commit_id).agg(F.max("commit_id")).first()[0]
-    since = read_history(spark, path).where(F.col("commit_id") <= commit_id)
+    since = _opened(spark, path, None, last, commit_id).where(F.col("commit_id") <= commit_id)
     if last is not None:
         since = since.where(F.col("commit_id") > last)
     folder, names = f"{path}/_bases/commit_id={commit_id}", None
@@ -205,12 +245,13 @@ def write_base(
         names = {r[0] for r in since.select(KEY_BUCKET).distinct().collect()}
         older = _log(spark, path, "base").where(F.col("commit_id") < commit_id).select(F.explode("buckets")).distinct()
         older = {r[0] for r in older.collect()}
-        if any(not n.endswith(f"of{buckets.count}") for n in (names | older) - {NO_KEY}):
-            names |= older  # the count was changed: everything is dealt out anew
+        if any(not n.endswith(f"of{buckets.count}") for n in (names | older) - {NO_KEY, NO_KEY_SINCE}):
+            names |= older - {NO_KEY, NO_KEY_SINCE}  # the count was changed: everything is dealt out anew
         before = rows_until(spark, path, last) if last is not None else since.where("false")
-        touched = before.where(F.col(KEY_BUCKET).isin(*sorted(names))).unionByName(since, allowMissingColumns=True)
+        touched = before.where(F.col(KEY_BUCKET).isin(*sorted(names - {NO_KEY}))).unionByName(since, allowMissingColumns=True)
         _write(dedupe_latest(touched, buckets.keys, "commit_id").drop("commit_id"), folder, buckets)
         names |= {r[0] for r in spark.read.parquet(folder).select(KEY_BUCKET).distinct().collect()} if names else set()
+        names = {NO_KEY_SINCE if n == NO_KEY else n for n in names}
     now = spark.range(1).select(F.current_timestamp()).first()[0]
     _mark(spark, path, "base", commit_id, first_committed_at=now, last_committed_at=now, buckets=None if names is None else sorted(names))
 

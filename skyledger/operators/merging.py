@@ -194,7 +194,8 @@ def folded_changes(earlier: DataFrame, source: DataFrame, keys: str | Sequence[s
     """Rows of a fold that are new or differ once ``source`` is folded into ``earlier``.
 
     ``earlier`` may hold several folds of a key, one per commit: each column's
-    greatest order counts. Only keys of ``source`` are looked up.
+    greatest order counts. Only keys of ``source`` are looked up; rows without a
+    key are new and skip the join.
     """
     keys = _names(keys)
     columns = [c for c in source.columns if c != FOLD_ORDER]
@@ -207,6 +208,7 @@ def folded_changes(earlier: DataFrame, source: DataFrame, keys: str | Sequence[s
 
     if FOLD_ORDER not in earlier.columns:
         return source
+    keyless, source = source.where(_any_null(keys)), source.where(~_any_null(keys))
     new = paired(source)
     old = _keyed_like(paired(earlier).where(~_any_null(keys)), source, keys)
     old = old.groupBy(*map(_col, keys)).agg(*[_greatest(f"__{c}") for c in values], F.lit(True).alias("__known"))
@@ -221,7 +223,7 @@ def folded_changes(earlier: DataFrame, source: DataFrame, keys: str | Sequence[s
         F.col("__known").isNull(),
     )
     changed = both.where(differs).select(*[_of("s", k).alias(k) for k in keys], *[merged(c).alias(f"__{c}") for c in values])
-    return _unfolded(changed, keys, values, columns)
+    return _unfolded(changed, keys, values, columns).unionByName(keyless)
 
 
 def _orderable(kind: DataType) -> bool:

@@ -168,6 +168,49 @@ def test_bases_give_the_same_table_from_fewer_folders(spark, tmp_path):
     assert rows(table_as_of(spark, path, keys="id")) == rows(as_of(read_history(spark, path), 13, "id"))
 
 
+def test_rows_without_key_are_gathered_once_and_spread(spark, tmp_path):
+    path, dealt = str(tmp_path / "h"), Buckets(("id",), 8)
+    for n in range(6):
+        rows_now = spark.range(0, 400, 1, 4).selectExpr("CAST(IF(id < 100, id, NULL) AS INT) AS id", f"concat('{n} ', id) AS v")
+        write_commit(rows_now, path, n, buckets=dealt)
+        if n in (1, 3):
+            write_base(spark, path, n, dealt)
+    # Each base holds the rows without a key since the one before.
+    for base in (1, 3):
+        assert spark.read.parquet(f"{path}/_bases/commit_id={base}").where("id IS NULL").count() == 600
+    want = rows(as_of(read_history(spark, path), keys="id"))
+    assert rows(table_as_of(spark, path, keys="id")) == want and len(want) == 100 + 6 * 300
+    assert rows(table_as_of(spark, path, 3, "id")) == rows(as_of(read_history(spark, path), 3, "id"))
+    # A base from before holds all of them: those of later ones are added to it.
+    spark.read.parquet(path).where("commit_id <= 3").drop("commit_id").write.mode("overwrite").partitionBy("key_bucket").parquet(f"{path}/_bases/commit_id=3")
+    log = spark.read.parquet(f"{path}/_log/kind=base/commit_id=3").collect()
+    old = [(*r[:3], [b.replace("none_since", "none") for b in r["buckets"]]) for r in log]
+    spark.createDataFrame(old, spark.read.parquet(f"{path}/_log/kind=base/commit_id=3").schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/_log/kind=base/commit_id=3")
+    write_base(spark, path, 5, dealt)
+    assert rows(table_as_of(spark, path, keys="id")) == want
+
+
+def test_a_batch_lists_only_commits_since_the_base(spark, tmp_path):
+    path, dealt = str(tmp_path / "h"), Buckets(("id",), 4)
+    for n in range(6):
+        write_commit(spark.createDataFrame([(n, "a"), (None, "b")], SCHEMA), path, n, buckets=dealt)
+        if n in (1, 3):
+            write_base(spark, path, n, dealt)
+    batch = spark.createDataFrame([(k, "x") for k in range(6)], SCHEMA)
+    asked = rows_until(spark, path, 5, batch.schema, dealt, dealt.of(batch))
+    listed = {f.split("commit_id=")[0][-7:] + f.split("commit_id=")[1].split("/")[0] for f in asked.inputFiles()}
+    assert {f for f in listed if "_bases" not in f} == {f"{path[-6:]}/4", f"{path[-6:]}/5"}
+    assert rows(asked.where("id IS NOT NULL"), "id", "v") == [(k, "a") for k in range(6)]
+
+
+def test_rows_without_key_skip_the_lookup(spark):
+    fold = fold_latest(spark.createDataFrame([(1, "a"), (None, "b"), (None, "b")], SCHEMA).withColumn("seq", F.lit(1)), "id", "seq")
+    changed = folded_changes(fold, fold_latest(spark.createDataFrame([(1, "a"), (None, "c"), (None, "c")], SCHEMA).withColumn("seq", F.lit(1)), "id", "seq"), "id")
+    assert rows(changed, "id", "v") == [(None, "c"), (None, "c")]
+    plan = changed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and plan.index("Union") < plan.index("Join")
+
+
 def test_bases_of_an_append_only_table(spark, tmp_path):
     path = str(tmp_path / "h")
     for n in range(6):
