@@ -123,18 +123,30 @@ def _bitmap(key: Column, width: Column, height: Column) -> Column:
     return F.unhex(F.concat(header, F.repeat(row, height.cast("int"))))
 
 
-def picture_files(spark: SparkSession, sf_dir: str, path: str | None = None, which: str = "true") -> str:
-    """One small bitmap per supplier, every seventh spoilt; written by Spark's text sink."""
+#: Folders that pictures are dealt into where their folder need not tell which they are.
+PICTURE_FOLDERS = 64
+
+
+def picture_files(
+    spark: SparkSession, sf_dir: str, path: str | None = None, which: str = "true", named: bool = True
+) -> str:
+    """One small bitmap per supplier, every seventh spoilt; written by Spark's text sink.
+
+    ``named``: each in a folder that holds its number. Else many share a folder: making,
+    renaming and listing a folder for each takes most of the time once they are many.
+    """
     path = path or work_dir(spark, "images")
     key = F.col("s_suppkey")
     bitmap = _bitmap(key, key % 5 + 1, key % 3 + 1).cast("string")
     (
         table(spark, sf_dir, "supplier")
         .where(which)
-        .select(key.alias("picture"), F.when(key % 7 == 0, F.lit("spoilt")).otherwise(bitmap).alias("value"))
+        .select(key.alias("picture"), F.pmod(F.xxhash64(key), F.lit(PICTURE_FOLDERS)).alias("folder"), F.when(key % 7 == 0, F.lit("spoilt")).otherwise(bitmap).alias("value"))
         # Making many files is slow work: give every core its share.
         .repartition(spark.sparkContext.defaultParallelism, "picture")
-        .write.partitionBy("picture")
+        .drop("folder" if named else "picture")
+        .write.partitionBy("picture" if named else "folder")
+        .option("maxRecordsPerFile", 1)
         .text(path)
     )
     return path
@@ -207,7 +219,7 @@ def images_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"read {width} x {height}"
 
     for part in range(2):
-        picture_files(spark, sf_dir, f"{root}/2024/01/{part + 5:02}/images", f"s_suppkey % 2 = {part}")
+        picture_files(spark, sf_dir, f"{root}/2024/01/{part + 5:02}/images", f"s_suppkey % 2 = {part}", named=False)
         image_plans.ingest_images(spark, layers, progress, size, glob="*/*/*/images/*/*.txt")
     text, flights = (spark.table(f"{silver}.{t}") for t in (IMAGE_TEXT_TABLE, IMAGE_FLIGHTS_TABLE))
     by = ["batch", "decode_status"]

@@ -3,8 +3,9 @@
 import pytest
 from helpers import rows
 
-from skyledger.showcase import jobs, streams
+from skyledger.showcase import extraction, jobs, streams
 from skyledger.showcase.standins import table
+from skyledger.sources import read_images
 
 
 @pytest.fixture(scope="module")
@@ -46,3 +47,13 @@ def test_missing_columns_of_both_datasets_stop(spark, tables, monkeypatch):
     monkeypatch.setattr(jobs, "quality_report", report)
     assert rows(jobs.quality_stops_the_job(spark, tables)) == [("no column population2",)]
     assert [s.split(":")[0] for s in stops] == ["countries", "weather"]
+
+
+def test_pictures_share_folders(spark, tmp_path):
+    """One file a picture, in folders that do not grow with the pictures; the tables may have few or many rows."""
+    for n in (3, 700):
+        spark.range(1, n + 1).withColumnRenamed("id", "s_suppkey").write.parquet(str(tmp_path / f"sf{n}/supplier.parquet"))
+        path = extraction.picture_files(spark, str(tmp_path / f"sf{n}"), str(tmp_path / f"pictures{n}"), named=False)
+        images = read_images(spark, path)
+        assert images.count() == n and images.where("image.mode < 0").count() == n // 7
+        assert len(list((tmp_path / f"pictures{n}").glob("folder=*"))) <= extraction.PICTURE_FOLDERS
