@@ -261,6 +261,39 @@ def test_rare_shingles_lose_no_similar_pair(spark):
         assert len(pairs) < 10 * len(lines)
 
 
+@pytest.mark.parametrize("hot", [1, 50, 4096])
+def test_frequent_shingles_stay_with_their_lines(spark, monkeypatch, hot):
+    """Of a template's lines only the shingles off the list of frequent ones travel, and no similar pair is lost."""
+    lines = [t for _, t in template_lines(200, seed=9)]
+    texts = spark.createDataFrame([(k, k, t) for k, t in enumerate(lines)], "a long, b long, line string")
+    sets = [{t[i : i + 8] for i in range(len(t) - 7)} for t in lines]
+    kept, real = {}, line_dedup.stored
+
+    def watched(df, label):
+        kept[label] = real(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    met = line_dedup._by_rare_shingles(texts.selectExpr("a", "a AS component"), texts, 8, 0.8).collect()
+    pairs = {(r["x"], r["y"]) for r in met}
+    same = {(x, y) for y in range(200) for x in range(y) if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])}
+    assert same and same <= pairs and len(pairs) == len(met)
+    assert kept["shingles"].count() == 200  # a row a line, not a shingle
+
+
+def test_stars_cost_no_round(spark, monkeypatch):
+    """Components found before and a few links more take fewer steps than all links again."""
+    steps, real = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, label: (steps.append(label), real(df, label))[1])
+    stars = spark.createDataFrame([(10 * (k // 10), k) for k in range(100)], "a long, b long")
+    first = graph.components(stars)
+    assert steps == ["edges"] and dict(first.collect()) == {k: 10 * (k // 10) for k in range(100)}
+    steps.clear()
+    both = graph.components(first.toDF("a", "b").union(spark.createDataFrame([(15, 27)], "a long, b long")))
+    assert dict(both.collect())[29] == 10 and steps.count("small-star") <= 2
+
+
 def test_lines_of_the_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = brute.removed_lines([tuple(r) for r in docs.select("doc_id", "text").collect()])
