@@ -294,6 +294,41 @@ def test_stars_cost_no_round(spark, monkeypatch):
     assert dict(both.collect())[29] == 10 and steps.count("small-star") <= 2
 
 
+def test_shingles_of_any_characters(spark):
+    """Sets and signatures hold each shingle of eight characters, however many bytes a character has."""
+    texts = ["", "a", "sevenxx", "eight888", "ninenine9", "é" * 40 + "ß", "日本語の文章です" * 9, "🙂🙃" * 20 + "end", "plain words " * 150]
+    rows = [(k, k, x) for k, x in enumerate(texts)] + [(4, 4, texts[4])] * 2
+    lines = spark.createDataFrame(rows, "a long, b long, line string").repartition(3)
+    sizes = {r["a"]: r["m"] for r in lines.select("a", F.size(line_dedup.shingle_set(F.col("line"))).alias("m")).collect()}
+    assert sizes == {k: len({x[i : i + 8] for i in range(max(1, len(x) - 7))}) for k, x in enumerate(texts)}
+    signed = {r["a"]: (r["n"], tuple(r["mins"])) for r in line_dedup.signatures(lines).collect()}
+    assert len(signed) == len(texts) and [k for k, (n, _) in signed.items() if n > 1] == [4] and signed[4][0] == 3
+    alike = line_dedup.signatures(spark.createDataFrame([(1, 1, "plain words " * 90)], "a long, b long, line string")).first()
+    assert tuple(alike["mins"]) == signed[8][1]  # the same set
+
+
+def test_texts_stay_and_sets_are_made_once(spark, monkeypatch):
+    """No text travels for the signatures; a pair's two sets are each worked out once, and of a list only its first part is unrolled."""
+    plans, real = {}, line_dedup.stored
+
+    def watched(df, label):
+        plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    lines = spark.createDataFrame([(k, k, t) for k, t in template_lines(60)], "a long, b long, line string")
+    signed = line_dedup.signatures(lines)
+    shuffled = [x for x in signed._jdf.queryExecution().sparkPlan().toString().split("\n") if "Aggregate" in x]
+    assert shuffled and not any("line" in x or "wide" in x for x in shuffled)
+    pairs = spark.createDataFrame([(x, y) for x in range(60) for y in range(x)], "y long, x long")
+    sets = [{t[i : i + 8] for i in range(len(t) - 7)} for _, t in template_lines(60)]
+    got = {(r["xa"], r["ya"]) for r in line_dedup._verified(pairs, lines, 8, 0.8).collect()}
+    assert got == {(x, y) for y in range(60) for x in range(y) if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])}
+    assert plans["links"].count("array_distinct(") == 2 and plans["links"].count("array_intersect(") == 1
+    line_dedup._by_rare_shingles(lines.selectExpr("a", "a AS component"), lines, 8, 0.8)
+    assert plans["prefixes"].count("posexplode(slice(") == 2
+
+
 def test_lines_of_the_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = brute.removed_lines([tuple(r) for r in docs.select("doc_id", "text").collect()])
